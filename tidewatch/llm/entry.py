@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, licenses, neardup, packing, repeats
+from tidewatch.llm import bpe, licenses, mtree, neardup, packing, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,13 +30,18 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(_table(spark, sf_dir, "documents"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return mtree.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents")))
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op5_minhash_near_dedup, op6_packing, op8_suffix_dedup, op10_bpe_roundtrip)}
+    return {f.__name__: f for f in (op1_license_scan, op5_minhash_near_dedup, op6_packing, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
