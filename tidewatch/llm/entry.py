@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, licenses, mtree, neardup, packing, repeats
+from tidewatch.llm import bpe, licenses, mtree, neardup, packing, quality, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.quality_rules(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
@@ -41,7 +46,7 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op5_minhash_near_dedup, op6_packing, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
+    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op5_minhash_near_dedup, op6_packing, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
