@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, licenses, mtree, neardup, packing, quality, repeats, toxicity
+from tidewatch.llm import bpe, licenses, mtree, neardup, packing, pages, quality, repeats, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pages.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op5_minhash_near_dedup, op6_packing, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
+    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
