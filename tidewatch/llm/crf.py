@@ -70,21 +70,25 @@ def train(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 80,
 
 def viterbi(model: Model, features: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The likeliest labels of all rows of ``features``; sequence i has rows offsets[i] to offsets[i + 1]."""
-    out = np.zeros(len(features), np.int64)
+    return best_path(features @ model.weights, model.transition, model.start, offsets)
+
+
+def best_path(e: np.ndarray, transition: np.ndarray, start: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The highest-scoring labels for emission scores ``e`` (rows by labels), smaller labels first on ties."""
+    out = np.zeros(len(e), np.int64)
     size = np.diff(offsets)
     order = np.argsort(-size, kind="stable")
     order = order[size[order] > 0]
     if not order.size:
         return out
-    e = features @ model.weights
     first, size = offsets[:-1][order], size[order]
     longest = int(size[0])
-    score = e[first] + model.start
-    back = np.zeros((len(features), 2), np.int8)
+    score = e[first] + start
+    back = np.zeros(e.shape, np.int8)
     active = np.searchsorted(-size, -np.arange(longest), "left")  # sequences longer than t
     for t in range(1, longest):
         k = int(active[t])
-        through = score[:k, :, None] + model.transition
+        through = score[:k, :, None] + transition
         best = through.argmax(axis=1)
         rows = first[:k] + t
         back[rows] = best

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, licenses, mtree, neardup, packing, pages, quality, repeats, toxicity
+from tidewatch.llm import bpe, chat, licenses, mtree, neardup, packing, pages, quality, repeats, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(toxicity.remainder("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op4_chat_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chats(_table(spark, sf_dir, "conversations"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
@@ -57,7 +61,7 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
+    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op4_chat_transcripts, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
