@@ -1,12 +1,66 @@
-"""Corpus pipeline: toxicity, quality rules, near-duplicates, repeated passages, packing."""
+"""Corpus pipeline: toxicity, quality rules, near-duplicates, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; ``run`` writes its result as Parquet and reads it again for the next one.
+All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch.llm import neardup, packing, quality, repeats, toxicity
+from tidewatch.llm.scratch import Scratch
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is under one half."""
+    scored = toxicity.score(docs, toxicity.train(docs, _labels(spark, sf_dir)))
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.quality_rules(docs, _labels(spark, sf_dir)).where("kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each near-duplicate group; rows without an id stay."""
+    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, repeated passages cut from their texts, ``n_chars`` counted anew."""
+    return repeats.remove_repeats(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: one row per piece and its place."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality rules", drop_low_quality),
+    ("near-duplicates", drop_near_duplicates),
+    ("repeated passages", cut_repeats),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+#: Trained models and tokenizers are beyond SQL; tests/llm holds a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
