@@ -1 +1 @@
-"""."""
+"""Pure DataFrame-to-DataFrame operators."""

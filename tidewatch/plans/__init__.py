@@ -1 +1 @@
-"""."""
+"""Whole plans and the query catalogue."""

@@ -1 +1 @@
-"""."""
+"""Wide fact tables in, partitioned tables out."""
