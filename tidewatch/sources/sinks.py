@@ -53,13 +53,26 @@ def accumulate(frame: DataFrame, table: str, targets: Iterable[Sequence[int]], p
             raise ValueError(f"{table} is partitioned by {partition_columns(spark, table)}, not by {list(partitions)}; pass migrate=True to recreate it")
         replace_table(ordered, table, path, partitions)
         return "migrated"
-    # the option belongs to this write: in static mode an insert would erase all other months
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    _insert_dynamic(ordered, table)
     found = {tuple(r) for r in ordered.select(*partitions).distinct().collect()}  # a row per partition of the run
     _clear(spark, table, partitions, [t for t in map(tuple, targets) if t not in found])
     return "updated"
 
 
+def _insert_dynamic(frame: DataFrame, table: str) -> None:
+    """Overwrites only the partitions that ``frame`` has; in static mode an insert would erase all others.
+
+    An insert does not see the option on its writer, so the session's setting is changed for its duration.
+    """
+    conf, key = frame.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        frame.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(key, before)
+
+
 def _clear(spark: SparkSession, table: str, partitions: Sequence[str], targets: list[tuple]) -> None:
     """Removes whole partitions with their files."""
     if not targets:
