@@ -1 +1 @@
-"""."""
+"""Daily totals of streams, handed to batch runs."""
