@@ -17,10 +17,12 @@ def daily(facts: DataFrame, config: DetectorConfig) -> DataFrame:
 def monthly(days: DataFrame, config: DetectorConfig) -> DataFrame:
     """Mean and sum of the daily totals and the number of days, by series and month.
 
-    Days without rows are absent, not zero; so are months.
+    Days without rows are absent, not zero; so are months.  Daily totals are few
+    (a row per series and day), so they are dealt by series here, once: the month
+    aggregate and all statistics by series and window then need no exchange.
     """
     return (
-        days.withColumns({"codmes": month_code("fecha_dt"), "mes_idx": month_index("fecha_dt")})
+        days.repartition(*config.cell).withColumns({"codmes": month_code("fecha_dt"), "mes_idx": month_index("fecha_dt")})
         .groupBy(*config.cell, "codmes", "mes_idx")
         .agg(F.avg("cantidad_dia").alias("valor_mes"), F.sum("cantidad_dia").alias("suma_mes"), F.count(F.lit(1)).alias("n_dias"))
     )
