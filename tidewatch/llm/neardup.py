@@ -41,7 +41,7 @@ HASHES = BANDS * ROWS
 #: Estimates this far under the threshold are still confirmed: six standard deviations at 128 hashes and 4 bits.
 SLACK = 0.22
 #: Members of a block of a bucket.
-BLOCK = 256
+BLOCK = 1024
 
 _RNG = np.random.default_rng(77)
 _XOR = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -159,8 +159,9 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, key:
             content = _content(sets).view(np.int64)
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(content[:, 0]), pa.array(content[:, 1]), pa.ListArray.from_arrays(pa.array(ends), flat)], ["doc_id", "c1", "c2", "shingles"])
 
-    own = docs.select(F.col(key).cast("long").alias("doc_id"), text).join(wanted, "doc_id", "left_semi")
-    return own.mapInArrow(run, "doc_id long, c1 long, c2 long, shingles array<long>").join(wanted.select("doc_id", "c1", "c2"), ["doc_id", "c1", "c2"], "left_semi").dropDuplicates(["doc_id", "c1", "c2"]).select("doc_id", "shingles")
+    own = docs.select(F.col(key).cast("long").alias("doc_id"), text).join(wanted.select("doc_id"), "doc_id", "left_semi")
+    sets = own.mapInArrow(run, "doc_id long, c1 long, c2 long, shingles array<long>")
+    return sets.join(wanted.select("doc_id", "c1", "c2"), ["doc_id", "c1", "c2"]).dropDuplicates(["doc_id", "c1", "c2"]).select("doc_id", "shingles")
 
 
 def _similar(a: str, b: str, percent: int) -> F.Column:
@@ -204,41 +205,72 @@ def _links_in_bucket(ids: np.ndarray, roots: np.ndarray, side: np.ndarray, sigs:
     return out
 
 
-def _rest(members: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """Links within buckets; ``members``: band, i, j, side, doc_id, root, sig, shingles."""
+def _by_bucket(members: DataFrame, partitions: int, each, schema: str) -> DataFrame:
+    """``each`` (a table of one bucket or pair of blocks, to a batch or None) over members dealt by band, i, j."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        current = None
 
-        def flush(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-            t = pa.Table.from_batches(rows).combine_chunks()
-            if t.num_rows < 2:
-                return None
-            lists = t.column("shingles").combine_chunks()
-            at = lists.offsets.to_numpy().astype(np.int64)
-            sig = t.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
-            found = _links_in_bucket(t.column("doc_id").to_numpy(), t.column("root").to_numpy(), t.column("side").to_numpy(), sig, lists.values.to_numpy()[at[0] : at[-1]], at - at[0], percent)
-            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}) if found else None
+        def done() -> pa.RecordBatch | None:
+            table = pa.Table.from_batches(held).combine_chunks()
+            return each(table) if table.num_rows > 1 else None
 
-        current = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")], axis=1)
-            if not len(keys):
+            if not batch.num_rows:
                 continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")], axis=1)
             edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 own = tuple(keys[a].tolist())
                 if held and own != current:
-                    if (out := flush(held)) is not None:
+                    if (out := done()) is not None:
                         yield out
                     held = []
                 current = own
                 held.append(batch.slice(a, b - a))
-        if held and (out := flush(held)) is not None:
+        if held and (out := done()) is not None:
             yield out
 
-    dealt = members.repartition(partitions, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long")
+    return members.repartition(partitions, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, schema)
+
+
+def _signature_rows(table: pa.Table) -> np.ndarray:
+    return table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
+
+
+def _close(members: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """The members (band, i, j, side, doc_id, root) with a possible partner in another component of their bucket."""
+    names = ["band", "i", "j", "side", "doc_id", "root"]
+
+    def each(table: pa.Table) -> pa.RecordBatch | None:
+        sig = _signature_rows(table)
+        _, label = np.unique(table.column("root").to_numpy(), return_inverse=True)
+        side = table.column("side").to_numpy()
+        two = side.min() != side.max()
+        near = np.zeros(table.num_rows, bool)
+        for x in np.flatnonzero(label != np.bincount(label).argmax()):
+            partner = (label != label[x]) & (estimate(sig, sig[x]) >= percent / 100 - SLACK)
+            if two:
+                partner &= side != side[x]
+            if partner.any():
+                near |= partner
+                near[x] = True
+        return table.filter(pa.array(near)).select(names).combine_chunks().to_batches()[0] if near.any() else None
+
+    return _by_bucket(members, partitions, each, "band long, i int, j int, side int, doc_id long, root long")
+
+
+def _rest(members: DataFrame, percent: int, partitions: int) -> DataFrame:
+    """Links within buckets; ``members``: band, i, j, side, doc_id, root, sig, shingles."""
+
+    def each(table: pa.Table) -> pa.RecordBatch | None:
+        lists = table.column("shingles").combine_chunks()
+        at = lists.offsets.to_numpy().astype(np.int64)
+        found = _links_in_bucket(table.column("doc_id").to_numpy(), table.column("root").to_numpy(), table.column("side").to_numpy(), _signature_rows(table), lists.values.to_numpy()[at[0] : at[-1]], at - at[0], percent)
+        return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}) if found else None
+
+    return _by_bucket(members, partitions, each, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
@@ -254,30 +286,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     )
     classes = scratch.keep(classes, "classes")
     members = classes.select("rep", F.explode("bands").alias("band"))
-    rank = F.struct(F.xxhash64("rep", "band").alias("h"), F.col("rep").alias("rep"))
+    rank = F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("rep"))
     buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("centre")).where("n > 1").select("band", "n", F.col("centre.rep").alias("centre"))
     members = scratch.keep(members.join(buckets, "band"), "members")
-    # full sets of the representatives that share a bucket with another
-    shared = members.select(F.col("rep").alias("doc_id")).distinct()
-    wanted = classes.select(F.col("rep").alias("doc_id"), "c1", "c2", "sig").join(shared, "doc_id")
-    wanted = scratch.keep(wanted, "wanted")
-    sets = scratch.keep(_full_sets(docs, wanted, shingle, text, key).join(wanted.select("doc_id", "sig"), "doc_id"), "sets")
-    # centres
+    sig = classes.select(F.col("rep").alias("doc_id"), "c1", "c2", "sig")
+    # centres: by signature, then on full sets
     pairs = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    sig = wanted.select("doc_id", "sig")
     pairs = pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb")), "b")
-    pairs = pairs.where(_estimate_column("sa", "sb") >= percent / 100 - SLACK).select("a", "b")
-    pairs = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
-    links = scratch.keep(pairs.where(_similar("xa", "xb", percent)).select("a", "b"), "links")
+    pairs = scratch.keep(pairs.where(_estimate_column("sa", "sb") >= percent / 100 - SLACK).select("a", "b"), "pairs")
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = scratch.keep(_full_sets(docs, sig.drop("sig").join(wanted, "doc_id"), shingle, text, key), "sets")
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("xb")), "b")
+    links = scratch.keep(both.where(_similar("xa", "xb", percent)).select("a", "b"), "links")
     first = components(links, scratch)
-    # what is still apart within a bucket
+    # what is still apart within a bucket: by signature, then on full sets
     rooted = members.join(first, members.rep == first.node, "left").select("band", "n", "rep", F.coalesce("root", "rep").alias("root"))
     apart = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     blocks_of = F.ceil(F.col("n") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep"), blocks_of).cast("int")
     rest = rooted.join(apart, "band").select("band", F.col("rep").alias("doc_id"), "root", mine.alias("side"), F.explode(F.sequence(F.lit(0), blocks_of - 1)).alias("o"))
-    rest = rest.select("band", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "doc_id", "root").join(sets, "doc_id")
-    more = _rest(rest, percent, partitions)
+    rest = rest.select("band", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "doc_id", "root").join(sig.select("doc_id", "sig"), "doc_id")
+    close = scratch.keep(_close(rest, percent, partitions), "close")
+    missing = close.select("doc_id").distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
+    missing = scratch.keep(sig.drop("sig").join(missing, "doc_id"), "missing")
+    more_sets = _full_sets(docs, missing, shingle, text, key).unionByName(sets)
+    more = _rest(close.join(sig.select("doc_id", "sig"), "doc_id").join(more_sets, "doc_id"), percent, partitions)
     more = scratch.keep(more.distinct(), "links")
     final = components(links.unionAll(more), scratch)
     by_class = classes.select("c1", "c2", "rep").join(final, F.col("rep") == F.col("node"), "left").select("c1", "c2", F.coalesce("root", "rep").alias("_root"))
