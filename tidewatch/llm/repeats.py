@@ -39,7 +39,7 @@ from tidewatch.llm.textblock import _BYTE_CODE, _power_tables, blocks, mix, text
 
 LENGTH, GRAM = 200, 48
 #: Distinct segments of an anchor in one shard, bytes of text in one suffix array, bytes looked at together.
-SHARD_SEGMENTS, SHARD_BYTES, LOOK_BYTES = 512, 2 << 20, 1 << 20
+SHARD_SEGMENTS, SHARD_BYTES, LOOK_BYTES = 8192, 2 << 20, 1 << 20
 _POSITION_BITS = 23
 
 
@@ -186,7 +186,8 @@ def shard_repeats(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndar
 
 
 def _compared(bodies: DataFrame, length: int, partitions: int) -> DataFrame:
-    """seg with lo, hi (starts from ``lo`` and before ``hi`` are repeated), or with a string's print for the count across shards."""
+    """Kind 0: starts of seg from ``lo`` and before ``hi`` are repeated.  For anchors dealt over shards also, with the
+    print (h1, h2) of the string: kind 1, a start that is not repeated in its shard; kind 2, a string that is."""
 
     def shard(rows: pa.Table) -> pa.RecordBatch:
         body = rows.column("body").to_pylist()
@@ -204,6 +205,7 @@ def _compared(bodies: DataFrame, length: int, partitions: int) -> DataFrame:
         b, e = np.flatnonzero(begin), np.flatnonzero(stop)
         out_seg, lo, hi = [seg[owner[b]]], [within[b]], [within[e] + 1]
         h1, h2 = [np.zeros(b.size, np.int64)], [np.zeros(b.size, np.int64)]
+        kind = [np.zeros(b.size, np.int64)]
         split = many[owner] > SHARD_SEGMENTS
         if split.any():
             data = np.frombuffer(b"".join(body), np.uint8)
@@ -211,16 +213,19 @@ def _compared(bodies: DataFrame, length: int, partitions: int) -> DataFrame:
             again = _sums(data ^ np.uint8(0x55))
             sizes = np.array([len(x) for x in body])
             place = (np.cumsum(sizes) - sizes)[owner] + within
-            chosen = np.flatnonzero(split)
-            # every start, so that a match in another shard reaches all of them here
+            # what is repeated here needs no match elsewhere, but is one: a single row stands for each such string
+            first = np.zeros(owner.size, bool)
+            first[np.unique(group, return_index=True)[1]] = True
+            chosen = np.flatnonzero(split & (~repeated | first))
+            open_ = ~repeated[chosen]
             out_seg.append(seg[owner[chosen]])
             lo.append(within[chosen])
             hi.append(within[chosen] + 1)
             h1.append(_print_of(sums, place[chosen], place[chosen] + length).view(np.int64))
             h2.append(_print_of(again, place[chosen], place[chosen] + length).view(np.int64))
-        known = np.concatenate([np.ones(b.size, bool), np.zeros(sum(x.size for x in lo[1:]), bool)])
-        cols = [np.concatenate(x).astype(np.int64) for x in (out_seg, lo, hi, h1, h2)]
-        return pa.RecordBatch.from_arrays([pa.array(known), *map(pa.array, cols)], ["known", "seg", "lo", "hi", "h1", "h2"])
+            kind.append(np.where(open_, 1, 2))
+        cols = [np.concatenate(x).astype(np.int64) for x in (kind, out_seg, lo, hi, h1, h2)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "seg", "lo", "hi", "h1", "h2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -244,7 +249,7 @@ def _compared(bodies: DataFrame, length: int, partitions: int) -> DataFrame:
 
     block = F.pmod(F.xxhash64("seg"), F.ceil(F.col("many") / SHARD_SEGMENTS)).cast("long")
     dealt = bodies.withColumn("block", block).repartition(partitions, "anchor", "block").sortWithinPartitions("anchor", "block")
-    return dealt.mapInArrow(run, "known boolean, seg long, lo long, hi long, h1 long, h2 long")
+    return dealt.mapInArrow(run, "kind long, seg long, lo long, hi long, h1 long, h2 long")
 
 
 def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -310,9 +315,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
     same = (own.c1 == wanted.c1) & (own.c2 == wanted.c2) & own.doc_id.eqNullSafe(wanted._id)
     texts = scratch.keep(own.join(wanted, same).select("rid", own.c1, own.c2, "text", "marks"), "texts")
     found = scratch.keep(_compared(_bodies(texts.select("text", "marks"), length, gram), length, partitions), "found")
-    across = found.where("not known").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
-    across = found.where("not known").join(across, ["h1", "h2"]).select("seg", "lo", "hi")
-    ranges = found.where("known").select("seg", "lo", "hi").unionAll(across)
+    across = found.where("kind > 0").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("kind") == 1).alias("open")).where("n > 1 and open").select("h1", "h2")
+    across = found.where("kind = 1").join(across, ["h1", "h2"]).select("seg", "lo", "hi")
+    ranges = found.where("kind = 0").select("seg", "lo", "hi").unionAll(across)
     ranges = ranges.join(by_segment.where("n = 1").select("seg", "rid"), "seg").groupBy("rid").agg(F.collect_list(F.struct("seg", "lo", "hi")).alias("ranges"))
     none = F.array().cast("array<struct<seg:long,lo:long,hi:long>>")
     cuts = _cut(texts.join(ranges, "rid", "left").withColumn("ranges", F.coalesce("ranges", none)), length, gram)
