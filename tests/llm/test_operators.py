@@ -142,6 +142,35 @@ def test_toxicity(spark, awkward, empty):
     assert toxicity.score(empty, toxicity.train(empty, labels.limit(0))).count() == 0
 
 
+def test_spelt_out_runs_and_long_words(spark):
+    rng, rows, marks = random.Random(8), [], []
+    plain = ["you", "are", "and", "what", "then", "some", "people", "never", "know"]
+    for i in range(900):
+        w = [rng.choice(plain) for _ in range(rng.randrange(10, 40))]
+        toxic = i % 4 == 0
+        if toxic:
+            w.insert(rng.randrange(len(w)), rng.choice(["idiot", "moron", "stupid"]))
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(toxic)))
+    phrase = "you are and stupid idiot and moron some people never know"
+    hidden = [
+        " ".join(phrase.replace(" ", "")), "s t u p 1 d", "1 d 1 0 t", "$ t u p i d", "m - o - r - o - n", "s t ü p i d m o r o n", "  ".join(" ".join(x) for x in phrase.split()),
+        phrase.replace(" ", "."), "stu" + "u" * 300 + "pid", ".".join("moron") + "." * 100, " ".join("people" * 200) + " m o r o n",
+    ]
+    clean = [" ".join("youareandwhatthensomepeopleneverknow"), "what." * 40 + "then", "1 2 3 4 5", "x " * 3000]
+    rows += [(2000 + i, h) for i, h in enumerate([*hidden, *clean])]
+    docs, labels = table(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    out = {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()}
+    assert [out[2000 + i] for i in range(len(hidden) + len(clean))] == [1] * len(hidden) + [0] * len(clean)
+    # what is settled early is what a decoder without that says
+    long = "1d.10t " * 300
+    want = {ends: model.decoder._decode(long, ends) for ends in (False, True)}
+    toxicity.SETTLE, before = 10**9, toxicity.SETTLE
+    assert want == {ends: model.decoder._decode(long, ends) for ends in (False, True)}
+    toxicity.SETTLE = before
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark):
     rows = [(i, f"word{i % 7} other{i % 11} thing") for i in range(200)]
     a = [(i, i % 3 == 0) for i in range(200)]

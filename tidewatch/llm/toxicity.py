@@ -5,7 +5,10 @@
    out one by one or with dots, a letter three times running) become lattices:
    each observed character is a letter of its own, a letter it stands for, a
    mark to be skipped or a repetition.  Viterbi decoding under the character
-   model and the channel's costs restores the word.
+   model and the channel's costs restores the word.  A run of one-character
+   words is one lattice, whose gaps are skipped or end a word; marks among
+   letters may end a word too.  Both readings count, with word ends and without.
+   No word or run is too long: decoding is linear and lets go of what is settled.
 3. Hashed character grams of restored words get smoothed log odds of toxic
    against clean documents, counted over labelled rows.  A document's score is a
    logistic function of its highest word scores, fitted on other labelled rows
@@ -44,12 +47,21 @@ LEET = {
 }
 SKIP_MARKS = ".-_*~'^`,/\\"
 COST_LEET, COST_SKIP_MARK, COST_REPEAT, COST_DROP = 0.7, 0.2, 0.4, 12.0
-MEMO_WORDS = 50_000
+#: A gap wider than the narrowest of its run is skipped at this cost; narrow gaps are skipped or end a word at none.
+COST_WIDE_GAP = 6.0
+GAP, WIDE_GAP = " ", "\t"
+#: Words that are remembered at most, and bytes of each; what is longer is decoded each time.
+MEMO_WORDS, MEMO_BYTES = 50_000, 64
+#: Characters after which the letters that all paths share are put out.
+SETTLE = 512
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _LEET_BYTE = np.zeros(256, bool)
 _LEET_BYTE[[ord(c) for c in LEET if ord(c) < 128]] = True
+_SKIP_BYTE = np.zeros(256, bool)
+_SKIP_BYTE[[ord(c) for c in SKIP_MARKS]] = True
+_FIRST_BYTE = (np.arange(256) & 0xC0) != 0x80
 _TRAILING = np.zeros(256, bool)
 _TRAILING[list(b".,;:!?)\"'|")] = True
 
@@ -86,7 +98,10 @@ def count_characters(docs: DataFrame, text: str = "text") -> np.ndarray:
             data, _ = text_bytes(block.column(text))
             if data.size > 2:
                 c = _CLASS[fold_case(data)]
-                total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=total.size)
+                a, b, c = c[:-2], c[1:-1], c[2:]
+                # a letter three times running is the channel's, so drawn-out words do not teach the model to keep them
+                own = ~((a == b) & (b == c) & (c > 0) & (c < 27))
+                total += np.bincount(((a * CLASSES + b) * CLASSES + c)[own], minlength=total.size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["gram", "n"])
 
@@ -108,37 +123,84 @@ class Deobfuscator:
         double = (double + 5 * single[None, :]) / (double.sum(axis=1, keepdims=True) + 5)
         triple = (c + 5 * double[None]) / (c.sum(axis=2, keepdims=True) + 5)
         self.cost = (-np.log(triple)).astype(np.float32)
-        self.memo: dict[bytes, bytes] = {}
+        self.memo: dict[bytes, tuple[bytes, ...]] = {}
 
     def restore(self, word: bytes) -> bytes:
-        """The likeliest word behind ``word`` (lower case)."""
+        """The likeliest word behind ``word`` (lower case), whose marks and gaps end no word."""
+        return self.readings(word)[0]
+
+    def readings(self, word: bytes) -> tuple[bytes, ...]:
+        """The likeliest word behind ``word`` (lower case), then, if marks or gaps may end words, the words of that reading."""
         out = self.memo.get(word)
         if out is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            out = self.memo[word] = self._decode(word.decode("utf-8", "ignore").lower())
+            plain = word.decode("utf-8", "ignore").lower()
+            out = (self._decode(plain),)
+            if any(c in SKIP_MARKS or c in (GAP, WIDE_GAP) for c in plain):
+                out = tuple(dict.fromkeys((*out, *self._decode(plain, True).split())))
+            if len(word) <= MEMO_BYTES:
+                if len(self.memo) >= MEMO_WORDS:
+                    self.memo.clear()
+                self.memo[word] = out
+        return out
+
+    @staticmethod
+    def _settled(states: dict, letters: list[str]) -> dict:
+        """Puts out the letters that the paths to all states share, and the states with paths cut off there."""
+        paths = []
+        for _, back, _ in states.values():
+            path = []
+            while back is not None:
+                path.append(back)
+                back = back[0]
+            paths.append(path[::-1])
+        shared = 0
+        while all(len(p) > shared for p in paths) and len({id(p[shared]) for p in paths}) == 1:
+            shared += 1
+        if not shared:
+            return states
+        letters += [node[1] for node in paths[0][:shared]]
+        made: dict[int, tuple] = {}
+        out = {}
+        for (state, (cost, _, last)), path in zip(states.items(), paths, strict=True):
+            back = None
+            for node in path[shared:]:
+                back = made.setdefault(id(node), (back, node[1]))
+            out[state] = (cost, back, last)
         return out
 
-    def _decode(self, word: str) -> bytes:
-        # state: the last two classes and the last letter; value: cost and what led there
+    def _decode(self, word: str, ends: bool = False) -> bytes:
+        """The likeliest letters behind ``word``; with ``ends``, marks and gaps may end words, which are put apart by spaces."""
+        # state: the last two classes and the last letter; value: cost, what was put out on the way there (linked), the last letter
         states: dict[tuple[int, int, str], tuple[float, tuple | None, str]] = {(0, 0, ""): (0.0, None, "")}
-        running = [any(word[k : k + 3] == c * 3 for k in range(max(0, i - 2), i + 1)) for i, c in enumerate(word)]
-        for c, in_run in zip(word, running, strict=True):
+        letters: list[str] = []
+        # gaps between equal letters do not hide a repetition
+        solid = [(i, c) for i, c in enumerate(word) if c not in (GAP, WIDE_GAP)]
+        running = [False] * len(word)
+        for k in range(len(solid) - 2):
+            if solid[k][1] == solid[k + 1][1] == solid[k + 2][1]:
+                for i, _ in solid[k : k + 3]:
+                    running[i] = True
+        for at, (c, in_run) in enumerate(zip(word, running, strict=True)):
             options: list[tuple[str, float]] = []
             if c.isalpha():
                 options.append((c, 0.0))
             if c in LEET:
                 options += [(x, COST_LEET) for x in LEET[c]]
-            skip = COST_SKIP_MARK if c in SKIP_MARKS else COST_DROP
+            skip = 0.0 if c == GAP else COST_WIDE_GAP if c == WIDE_GAP else COST_SKIP_MARK if c in SKIP_MARKS else COST_DROP
+            may_end = ends and (c in SKIP_MARKS or c in (GAP, WIDE_GAP))
             after: dict[tuple[int, int, str], tuple[float, tuple | None, str]] = {}
             for state, (cost, back, _) in states.items():
                 a, b, last = state
-                here = (cost, back, last)
                 again = in_run and any(x == last for x, _ in options)
                 if again or not c.isalpha():
                     total = cost + (COST_REPEAT if again else skip)
                     if state not in after or total < after[state][0]:
                         after[state] = (total, back, last)
+                if may_end and last:
+                    new = (b, 0, "")
+                    total = cost + float(self.cost[a, b, 0]) + (COST_SKIP_MARK if c in SKIP_MARKS else 0.0)
+                    if new not in after or total < after[new][0]:
+                        after[new] = (total, (back, " "), "")
                 for letter, channel in options:
                     p, q, total = a, b, cost + channel
                     for k in char_class(letter):
@@ -146,16 +208,16 @@ class Deobfuscator:
                         p, q = q, k
                     new = (p, q, letter)
                     if new not in after or total < after[new][0]:
-                        after[new] = (total, (here, letter), letter)
+                        after[new] = (total, (back, letter), letter)
             states = after
-        best = min(states.values(), key=lambda x: x[0])
-        letters = []
-        node = best[1]
-        while node is not None:
-            before, letter = node
-            letters.append(letter)
-            node = before[1]
-        return "".join(reversed(letters)).encode()
+            if at % SETTLE == SETTLE - 1:
+                states = self._settled(states, letters)
+        back = min(states.values(), key=lambda x: x[0])[1]
+        rest = []
+        while back is not None:
+            rest.append(back[1])
+            back = back[0]
+        return "".join(letters + rest[::-1]).encode()
 
 
 def restored_words(data: np.ndarray, off: np.ndarray, decoder: Deobfuscator) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -175,10 +237,10 @@ def restored_words(data: np.ndarray, off: np.ndarray, decoder: Deobfuscator) ->
     us, ue = starts[first], ends[first]
     # trim: what is no letter at either end, unless it may stand for one
     letter = _LETTER[folded]
-    place = np.arange(folded.size)
-    next_letter = np.minimum.accumulate(np.where(letter, place, folded.size)[::-1])[::-1]
-    last_letter = np.maximum.accumulate(np.where(letter, place, -1))
-    last_kept = np.maximum.accumulate(np.where(_TRAILING[folded], -1, place))
+    position = np.arange(folded.size)
+    next_letter = np.minimum.accumulate(np.where(letter, position, folded.size)[::-1])[::-1]
+    last_letter = np.maximum.accumulate(np.where(letter, position, -1))
+    last_kept = np.maximum.accumulate(np.where(_TRAILING[folded], -1, position))
     inner_start = np.minimum(next_letter[us], ue)
     inner_end = np.maximum(last_letter[ue - 1] + 1, inner_start)
     tail = np.clip(ue - 1, 2, None)
@@ -194,34 +256,60 @@ def restored_words(data: np.ndarray, off: np.ndarray, decoder: Deobfuscator) ->
     runs = total(run)
     has_letter = inner_end > inner_start
     inner_marks = (inner_end - inner_start) - (letters[inner_end] - letters[inner_start])
-    odd = has_letter & ((inner_marks > 0) | (leets[kept_end] - leets[np.minimum(us, kept_end)] > 0) | (runs[inner_end] - runs[np.minimum(inner_start + 2, inner_end)] > 0)) & (ue - us <= 64)
-    # letters spelt out as words of one letter
-    single = (ends - starts == 1) & letter[starts]
-    change = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
-    spelt: dict[bytes, list[int]] = {}
+    odd = has_letter & ((inner_marks > 0) | (leets[kept_end] - leets[np.minimum(us, kept_end)] > 0) | (runs[inner_end] - runs[np.minimum(inner_start + 2, inner_end)] > 0))
+    # runs of words of one letter (or what may stand for one, marks beside it or between them)
+    lead, at_mark = total(_FIRST_BYTE[folded]), total(_SKIP_BYTE[folded])
+    own = total(letter & _FIRST_BYTE[folded])
+    cores = own[ends] - own[starts] + leets[ends] - leets[starts]
+    chars = lead[ends] - lead[starts]
+    single = (cores + at_mark[ends] - at_mark[starts] == chars) & ((cores == 1) | ((cores == 0) & (chars == 1)))
+    joined = np.append(False, single[1:] & single[:-1] & (row[1:] == row[:-1]))
+    first_of, after_of = np.flatnonzero(single & ~joined), np.flatnonzero(single & ~np.append(joined[1:], False)) + 1
+    core_words, letter_words = total(single & (cores == 1)), total(single & (own[ends] > own[starts]))
+    some = (core_words[after_of] - core_words[first_of] > 1) & (letter_words[after_of] > letter_words[first_of])
     raw = folded.tobytes()
-    for a, b in zip(change[::2].tolist(), change[1::2].tolist(), strict=True):
-        for r in np.unique(row[a:b]).tolist():
-            own = [k for k in range(a, b) if row[k] == r]
-            if 4 <= len(own) <= 24:
-                spelt.setdefault(b"".join(raw[starts[k] : ends[k]] for k in own), []).append(r)
+    spelt: dict[bytes, list[int]] = {}
+    for a, b in zip(first_of[some].tolist(), after_of[some].tolist(), strict=True):
+        held = np.flatnonzero(cores[a:b])
+        a, b = a + int(held[0]), a + int(held[-1]) + 1
+        gap = starts[a + 1 : b] - ends[a : b - 1]
+        wide = [b"", *(WIDE_GAP.encode() if w else GAP.encode() for w in (gap > gap.min()).tolist())]
+        spelt.setdefault(b"".join(g + raw[starts[k] : ends[k]] for g, k in zip(wide, range(a, b), strict=True)), []).append(int(row[a]))
     extra: list[bytes] = []
     at = folded.size
-    ws, we = inner_start.copy(), inner_end.copy()
-    for u in np.flatnonzero(odd).tolist():
-        word = decoder.restore(raw[us[u] : kept_end[u]])
-        extra.append(word)
-        ws[u], we[u] = at, at + len(word)
-        at += len(word)
-    more_row, more_word = [], []
-    for word, rows in spelt.items():
+    # by distinct word: the likeliest word in its place; more readings are words of their own
+    places = inner_start.tolist(), inner_end.tolist()
+    more_of, more_row, more_word = [], [], []
+
+    def place(word: bytes) -> tuple[int, int]:
+        nonlocal at
         extra.append(word)
-        more_row += rows
-        more_word += [len(ws)] * len(rows)
-        ws, we = np.append(ws, at), np.append(we, at + len(word))
         at += len(word)
+        return at - len(word), at
+
+    for u in np.flatnonzero(odd).tolist():
+        one, *more = decoder.readings(raw[us[u] : kept_end[u]])
+        places[0][u], places[1][u] = place(one)
+        for word in more:
+            more_of.append((u, len(places[0])))
+            for x, y in zip(places, place(word), strict=True):
+                x.append(y)
+    for run_bytes, rows in spelt.items():
+        for word in decoder.readings(run_bytes):
+            more_row += rows
+            more_word += [len(places[0])] * len(rows)
+            for x, y in zip(places, place(word), strict=True):
+                x.append(y)
+    ws, we = np.array(places[0], np.int64), np.array(places[1], np.int64)
     buffer = np.concatenate([folded, np.frombuffer(b"".join(extra), np.uint8)]) if extra else folded
-    pair = np.unique(np.concatenate([row, np.array(more_row, np.int64)]) * np.int64(len(ws)) + np.concatenate([inverse, np.array(more_word, np.int64)]))
+    rows_of, words_of = [row, np.array(more_row, np.int64)], [inverse, np.array(more_word, np.int64)]
+    if more_of:  # every row that holds a word holds its other readings
+        source, made = np.array(more_of, np.int64).T
+        order = np.argsort(inverse, kind="stable")
+        lo, n = np.searchsorted(inverse[order], source), np.bincount(inverse, minlength=us.size)[source]
+        rows_of.append(row[order[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]])
+        words_of.append(np.repeat(made, n))
+    pair = np.unique(np.concatenate(rows_of) * np.int64(len(ws)) + np.concatenate(words_of))
     return buffer, ws, we, pair // len(ws), pair % len(ws)
 
 
