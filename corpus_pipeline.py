@@ -30,9 +30,16 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each near-duplicate group; rows without an id stay."""
-    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each near-duplicate group: that of the smallest id (rows without one come last), whatever ids repeat."""
+    scratch = Scratch(spark, "pipeline-rows")
+    # numbers are written down, as a second computation could deal them otherwise
+    rows = scratch.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = neardup.near_duplicates(rows, key="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("content"), "_row")
+    groups = scratch.keep(groups.join(rows.select("_row", place.alias("place")), "_row"), "groups")
+    first = groups.groupBy("component_id").agg(F.min("place").alias("place")).select("place._row")
+    gone = groups.select("_row").join(first, "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 from tidewatch.llm import neardup, quality, toxicity
@@ -36,3 +38,30 @@ def test_stages(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    texts = {n: " ".join(f"{n}{i}" for i in range(80)) for n in ("alpha", "beta", "gamma", "delta")}
+    near = texts["alpha"] + " more"
+    rows = [
+        (7, texts["alpha"]), (7, texts["alpha"]), (3, near),  # repeated rows and a smaller near-duplicate
+        (7, texts["beta"]),  # the same id, a text of its own
+        (None, texts["gamma"]), (None, texts["gamma"]), (None, texts["beta"]),
+        (9, texts["delta"]), (9, texts["delta"]), (9, None),
+    ]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars int").repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    out = stages["near-duplicates"](spark, docs, SF)
+    want = [(3, near), (7, texts["beta"]), (None, texts["gamma"]), (9, texts["delta"]), (9, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, want))
+    cut = stages["repeated passages"](spark, out, SF).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in cut))) == sorted(map(str, want))
+
+
+def test_run_on_repeated_rows(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.unionAll(docs).unionAll(docs.withColumn("doc_id", F.lit(None).cast("long"))).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    once, more = (corpus_pipeline.run(spark, d).groupBy("doc_id").sum("length").collect() for d in (SF, str(tmp_path)))
+    once, more = ({r[0]: r[1] for r in x} for x in (once, more))
+    assert sum(more.get(i) == n for i, n in once.items()) >= 0.9 * len(once)

@@ -52,6 +52,8 @@ COST_WIDE_GAP = 6.0
 GAP, WIDE_GAP = " ", "\t"
 #: Words that are remembered at most, and bytes of each; what is longer is decoded each time.
 MEMO_WORDS, MEMO_BYTES = 50_000, 64
+#: Text bytes worked on at once: what is held beside them is many times that.
+BLOCK_BYTES = 1 << 20
 #: Characters after which the letters that all paths share are put out.
 SETTLE = 512
 
@@ -94,7 +96,7 @@ def count_characters(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES**3, np.int64)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK_BYTES):
             data, _ = text_bytes(block.column(text))
             if data.size > 2:
                 c = _CLASS[fold_case(data)]
@@ -392,7 +394,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, (1 << BUCKET_BITS) + 1), np.int64)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK_BYTES):
             buffer, ws, we, row, word = restored_words(*text_bytes(block.column(text)), decoder)
             if not row.size:
                 continue
@@ -413,7 +415,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
     odds = np.log((table[1, :-1] + SMOOTH * share) / (table[0, :-1] + SMOOTH * (1 - share))) - math.log(share / (1 - share))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK_BYTES):
             x = document_features(*text_bytes(block.column(text)), decoder, odds)
             yield pa.RecordBatch.from_arrays([block.column("toxic"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["toxic", "x"])
 
@@ -431,7 +433,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id"
     own = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK_BYTES):
             x = document_features(*text_bytes(block.column(text)), model.decoder, model.odds)
             p = 1 / (1 + np.exp(-np.clip(x @ model.weights + model.bias, -30, 30)))
             p = np.where(p < 1e-12, 0.0, p)
