@@ -246,6 +246,13 @@ def test_near_duplicates_awkward(awkward, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_rows_of_an_id_join_their_groups(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (7, a), (7, b), (9, b), (7, ""), (9, None), (11, c), (11, c + " d"), (12, c), (13, ""), (None, b)]
+    out = neardup.near_duplicates(table(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in out} == {(5, 5, True), (7, 5, False), (9, 5, False), (11, 11, True), (12, 11, False), (13, 13, True), (None, None, True)} and len(out) == len(rows)
+
+
 def test_signature_estimate():
     rng = np.random.default_rng(0)
     for share in (0.3, 0.6, 0.8, 0.95):

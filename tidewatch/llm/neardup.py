@@ -312,9 +312,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     more_sets = _full_sets(docs, missing, shingle, text, key).unionByName(sets)
     more = _rest(close.join(sig.select("doc_id", "sig"), "doc_id").join(more_sets, "doc_id"), percent, partitions)
     more = scratch.keep(more.distinct(), "links")
-    final = components(links.unionAll(more), scratch)
+    # an id whose rows are in several classes joins them
+    several = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("c1", "c2")).alias("lo"), F.max(F.struct("c1", "c2")).alias("hi")).where("lo <> hi").select("doc_id")
+    own = rows.where("n_shingles > 0").select("doc_id", "c1", "c2").join(several, "doc_id").join(classes.select("c1", "c2", "rep"), ["c1", "c2"]).select("doc_id", "rep")
+    same = scratch.keep(own.join(own.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "same")
+    final = components(links.unionAll(more).unionAll(same), scratch)
     by_class = classes.select("c1", "c2", "rep").join(final, F.col("rep") == F.col("node"), "left").select("c1", "c2", F.coalesce("root", "rep").alias("_root"))
-    # a repeated document's rows may be in several classes: its own id joins them
-    component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("_root", "doc_id"))
-    out = rows.select("doc_id", "n_shingles", "c1", "c2").join(by_class, ["c1", "c2"], "left").withColumn("component_id", component)
+    # rows with an empty set go with the other rows of their id
+    blank = rows.where("doc_id is not null and n_shingles = 0").select("doc_id").distinct()
+    blank = rows.where("n_shingles > 0").select("doc_id", "c1", "c2").join(blank, "doc_id").join(by_class, ["c1", "c2"]).groupBy("doc_id").agg(F.min("_root").alias("_own"))
+    component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("_root", "_own", "doc_id"))
+    out = rows.select("doc_id", "n_shingles", "c1", "c2").join(by_class, ["c1", "c2"], "left").join(blank, "doc_id", "left").withColumn("component_id", component)
     return out.select("doc_id", "n_shingles", "component_id", (F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).alias("kept"))
