@@ -198,6 +198,25 @@ def test_chat(spark):
     assert chat.chats(odd).count() == 3 and chat.chats(turns.limit(0)).count() == 0
 
 
+def test_chat_texts_are_carried_whole(spark):
+    rng, rows = random.Random(14), []
+    inside = ["- item one\n- item two", "Note: mind the gap", "Question: is it so?\nA: it is", "def f(x):\n    if x:\n        return 1\n\n    return 2", "* point\n  - sub point"]
+    for c in range(300):
+        for t, role in enumerate(["user", "assistant"] * rng.randrange(1, 4)):
+            text = " ".join(words_of(rng, rng.randrange(6, 40 if role == "assistant" else 12))) + "."
+            if role == "assistant" and c % 2:
+                text += "\n" + rng.choice(inside) + "\nthat is all"
+            rows.append((c, t, role, text))
+    truth = collections.defaultdict(list)
+    for c, _, role, text in rows:
+        truth[c].append((role, text))
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.chats(turns).collect()
+    assert sum(r.chat == chat.render(truth[r.conv_id]) for r in out) >= 285
+    labelled = [chat.label_lines(r.transcript, r.truth.split(","), r.n_lines) for r in chat.write_down(turns).collect()]
+    assert len(labelled) == 300 and all(x is not None for x in labelled)
+
+
 # 5
 def brute_groups(rows, k, percent):
     sets = {}

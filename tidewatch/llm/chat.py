@@ -38,23 +38,25 @@ _MARKER = re.compile("|".join(f"(?P<m{i}>{p})" for i, (_, p) in enumerate(MARKER
 PARTS = (len(MARKERS) + 2, 5, 2, 2)  # marker, length, asks, after a blank line
 
 
-def observe(transcript: str) -> tuple[list[str], np.ndarray]:
-    """The text of each line without its marker, and the symbols seen (a column for each of PARTS)."""
+def observe(transcript: str) -> tuple[list[tuple[str, str]], np.ndarray]:
+    """Each line without its marker (as an opening) and whole (as one that goes on), and the symbols seen (a column for each of PARTS)."""
     texts, seen = [], []
     blank = True
     for line in transcript.split("\n"):
         stripped = line.strip()
         if not stripped:
             if texts:
-                texts.append("")
+                texts.append((line, line))
                 seen.append((len(MARKERS) + 1, 0, 0, int(blank)))
             blank = True
             continue
         found = _MARKER.match(stripped)
         marker = int(found.lastgroup[1:]) if found else len(MARKERS)
         rest = stripped[found.end() :] if found else stripped
+        # what stands after a marker keeps the blanks at its end, a line without one all of its own
+        opening = line.lstrip()[found.end() :] if found else line
         n = len(rest)
-        texts.append(rest)
+        texts.append((opening, line))
         seen.append((marker, 0 if n == 0 else 1 if n < 60 else 2 if n < 160 else 3 if n < 320 else 4, int("?" in rest), int(blank)))
         blank = False
     return texts, np.array(seen, np.int64).reshape(-1, len(PARTS))
@@ -92,14 +94,14 @@ def decode(model: Model, seen: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return crf.best_path(np.ascontiguousarray(e), model.transition, model.start, offsets)
 
 
-def turns_of(texts: list[str], states: list[int]) -> list[tuple[str, str]]:
-    """Role and text of each turn; the lines of a turn are joined and trimmed, empty turns go."""
+def turns_of(texts: list[tuple[str, str]], states: list[int]) -> list[tuple[str, str]]:
+    """Role and text of each turn; the lines of a turn are joined and trimmed as a whole, empty turns go."""
     out: list[tuple[str, list[str]]] = []
-    for text, state in zip(texts, states, strict=True):
+    for (opening, whole), state in zip(texts, states, strict=True):
         role = ROLES[state // 2]
         if not out or state % 2 == 0 or out[-1][0] != role:
             out.append((role, []))
-        out[-1][1].append(text)
+        out[-1][1].append(whole if state % 2 else opening)
     joined = ((role, "\n".join(lines).strip()) for role, lines in out)
     return [(role, text) for role, text in joined if text]
 
@@ -132,7 +134,7 @@ STYLES = (
 
 
 def write_down(turns: DataFrame) -> DataFrame:
-    """Transcripts (conv_id, part, transcript, truth) of turns (conv_id, turn, role, text), in a style by conversation.
+    """Transcripts (conv_id, part, transcript, truth, n_lines: of each turn) of turns (conv_id, turn, role, text), in a style by conversation.
 
     A conversation of more than ``PART_TURNS`` turns is several parts, so none is gathered without bound.
     """
@@ -143,30 +145,28 @@ def write_down(turns: DataFrame) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text", "role")) - 1
     rows = turns.select("conv_id", F.floor(number / PART_TURNS).cast("int").alias("part"), number.alias("n"), line.alias("line"), F.array(*[F.lit(r) for r in ROLES])[role].alias("role"))
     parts = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("n", "line", "role"))).alias("t"))
-    return parts.select("conv_id", "part", F.concat_ws("\n\n", F.col("t.line")).alias("transcript"), F.concat_ws(",", F.col("t.role")).alias("truth"))
+    return parts.select("conv_id", "part", F.concat_ws("\n\n", F.col("t.line")).alias("transcript"), F.concat_ws(",", F.col("t.role")).alias("truth"), F.transform("t.line", lambda x: F.size(F.split(x, "\n", -1))).alias("n_lines"))
 
 
 def train(transcripts: DataFrame, rows: int = TRAIN_TRANSCRIPTS) -> Model:
     """Counts on the ``rows`` written-down transcripts whose ids hash lowest, of those with crc32(conv_id) mod 5 not 0."""
     held = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 5
-    sample = transcripts.where(held != 0).orderBy(F.xxhash64("conv_id"), "conv_id", "part").limit(rows).select("transcript", "truth").collect()
-    return fit([x for r in sample if (x := label_lines(r["transcript"], r["truth"].split(","))) is not None])
+    sample = transcripts.where(held != 0).orderBy(F.xxhash64("conv_id"), "conv_id", "part").limit(rows).select("transcript", "truth", "n_lines").collect()
+    return fit([x for r in sample if (x := label_lines(r["transcript"], r["truth"].split(","), r["n_lines"])) is not None])
 
 
-def label_lines(transcript: str, truth: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-    """Symbols and states of a transcript that :func:`write_down` made."""
-    texts, seen = observe(transcript)
-    states, turn = [], -1
-    for marker in seen[:, 0].tolist():
-        turn += marker < len(MARKERS)
-        if not 0 <= turn < len(truth):
-            return None
-        role = ROLES.index(truth[turn])
-        states.append(2 * role + (marker >= len(MARKERS)))
-    return seen, np.array(states, np.int64)
+def label_lines(transcript: str, truth: list[str], n_lines: list[int]) -> tuple[np.ndarray, np.ndarray] | None:
+    """Symbols and states of a transcript that :func:`write_down` made of turns of ``n_lines`` lines."""
+    _, seen = observe(transcript)
+    states = []
+    for role, n in zip(truth, n_lines, strict=True):
+        r = 2 * ROLES.index(role)
+        states += [r] + [r + 1] * n  # the blank line after a turn goes on with it
+    states = states[:-1]
+    return (seen, np.array(states, np.int64)) if len(states) == len(seen) else None
 
 
 def chats(turns: DataFrame) -> DataFrame:
     """conv_id, part, n_turns, roles, chat of every conversation."""
     transcripts = write_down(turns)
-    return parse(transcripts.drop("truth"), train(transcripts))
+    return parse(transcripts.drop("truth", "n_lines"), train(transcripts))
