@@ -12,8 +12,11 @@ equal anchors, and starts that share an anchor form a *segment* of text.
 3. Only segments seen once whose anchor has other segments too need comparing:
    their texts go to shards by anchor, each shard's suffix array is built by
    induced sorting, and permuted common prefixes of at least ``LENGTH`` mark
-   repeated starts.  An anchor with very many segments is dealt over several
-   shards, each of which reports its distinct strings for a count across shards.
+   repeated starts.  A shard holds whole anchors.  The segments of an anchor with
+   more than ``SHARD_SEGMENTS`` are cut, by where a string stands around the
+   anchor, into bands of ``WIDTHS[0]`` starts, which are dealt anew by the bytes
+   that all strings of the band have in common; what is still too much is cut
+   into narrower bands.  The last bands are single strings, which are counted.
 4. The marks go back to the documents, whose bytes are then cut.
 
 No step gathers an anchor's or a segment's occurrences: they are counted with
@@ -26,6 +29,8 @@ long texts are cut into overlapping slices; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +43,10 @@ from tidewatch.llm.suffixes import permuted_prefixes, suffix_array
 from tidewatch.llm.textblock import _BYTE_CODE, _power_tables, blocks, mix, text_bytes
 
 LENGTH, GRAM = 200, 48
-#: Distinct segments of an anchor in one shard, bytes of text in one suffix array, bytes looked at together.
-SHARD_SEGMENTS, SHARD_BYTES, LOOK_BYTES = 8192, 2 << 20, 1 << 20
+#: Distinct segments of an anchor that are compared in one shard, bytes of text in one suffix array, bytes looked at together.
+SHARD_SEGMENTS, SHARD_BYTES, LOOK_BYTES = 512, 1 << 20, 1 << 20
+#: Starts in a band of an anchor that has more segments; each divides the one before, and the last is 1.
+WIDTHS = (20, 4, 1)
 _POSITION_BITS = 23
 
 
@@ -56,7 +63,7 @@ def _print_of(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
 
 
 def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """Segments of all rows: row, first and last (starts in ``data``), anchor, seg (hashes)."""
+    """Segments of all rows: row, first and last (starts in ``data``), place (of the anchor, from ``first``), anchor, seg (hashes)."""
     limit = 1 << _POSITION_BITS
     if data.size >= limit:
         parts, step = [], limit // 2
@@ -68,12 +75,12 @@ def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int
                 got["first"] += at
                 got["last"] += at
                 parts.append(got)
-        return {c: np.concatenate([p[c] for p in parts]) for c in ("row", "first", "last", "anchor", "seg")}
+        return {c: np.concatenate([p[c] for p in parts]) for c in ("row", "first", "last", "place", "anchor", "seg")}
     span = length - gram + 1
     inside = np.zeros(data.size + 1, np.int32)
     sizes = np.diff(off)
     long = np.flatnonzero(sizes >= length)
-    none = {c: np.zeros(0, np.int64) for c in ("row", "first", "last")} | {c: np.zeros(0, np.uint64) for c in ("anchor", "seg")}
+    none = {c: np.zeros(0, np.int64) for c in ("row", "first", "last", "place")} | {c: np.zeros(0, np.uint64) for c in ("anchor", "seg")}
     if not long.size:
         return none
     np.add.at(inside, off[long], 1)
@@ -98,7 +105,7 @@ def segments(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int
     first, last = starts[head], starts[np.append(head[1:], starts.size) - 1]
     anchor = at[head]
     return {
-        "row": np.searchsorted(off, first, "right") - 1, "first": first, "last": last,
+        "row": np.searchsorted(off, first, "right") - 1, "first": first, "last": last, "place": anchor - first,
         "anchor": _print_of(sums, anchor, anchor + gram), "seg": _print_of(sums, first, last + length),
     }
 
@@ -137,7 +144,7 @@ def _longs(lists: pa.ListArray, field: str) -> np.ndarray:
 
 
 def _bodies(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The texts of the segments that are to be compared: anchor, seg, many (segments of the anchor), body."""
+    """The texts of the segments that are to be compared: anchor, seg, lo (0), place (of the anchor in it), many (segments of the anchor), body."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", LOOK_BYTES):
@@ -151,14 +158,50 @@ def _bodies(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     wanted[o, seg] = anchor, many
             out: list[tuple] = []
             raw = data.tobytes()
-            for row, first, last, seg in zip(found["row"].tolist(), found["first"].tolist(), found["last"].tolist(), found["seg"].view(np.int64).tolist(), strict=True):
+            for row, first, last, place, seg in zip(*(found[c].tolist() for c in ("row", "first", "last", "place")), found["seg"].view(np.int64).tolist(), strict=True):
                 if (row, seg) in wanted:
-                    out.append((*wanted.pop((row, seg)), seg, raw[first : last + length]))
+                    anchor, many = wanted.pop((row, seg))
+                    out.append((anchor, seg, 0, place, many, raw[first : last + length]))
             if out:
-                cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[3], pa.binary())], ["anchor", "seg", "many", "body"])
+                *numbers, body = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(body, pa.binary())], ["anchor", "seg", "lo", "place", "many", "body"])
 
-    return texts.mapInArrow(run, "anchor long, seg long, many long, body binary")
+    return texts.mapInArrow(run, "anchor long, seg long, lo long, place long, many long, body binary")
+
+
+def _bands(bodies: DataFrame, width: int, length: int) -> DataFrame:
+    """``bodies`` cut into bands of at most ``width`` starts: anchor (the bytes common to the band), sub (the band), seg, lo and hi (its starts in seg), place, body.
+
+    Equal strings stand alike around their anchor, so they are in bands with the same common bytes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, LOOK_BYTES * batch.num_rows // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                yield band(part, *text_bytes(part.column("body")))
+
+    def band(part: pa.RecordBatch, data: np.ndarray, off: np.ndarray) -> pa.RecordBatch:
+        anchor, seg, lo, place = (part.column(c).to_numpy() for c in ("anchor", "seg", "lo", "place"))
+        starts = np.diff(off) - length + 1
+        # a string's distance to the anchor falls from place to place - starts + 1
+        first, last = (place - starts + 1) // width, place // width
+        row = np.repeat(np.arange(starts.size), last - first + 1)
+        k = last[row] - (np.arange(row.size) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1))
+        begin = np.maximum(0, place[row] - (k + 1) * width + 1)
+        end = np.minimum(starts[row], place[row] - k * width + 1)
+        sums = _sums(data)
+        base = off[row]
+        core = base + place[row] - k * width
+        key = _print_of(sums, core, core - width + 1 + length) ^ mix(anchor[row].view(np.uint64) + k.astype(np.uint64))
+        sub = mix(_print_of(sums, base + begin, base + end - 1 + length) ^ mix(key))
+        raw = data.tobytes()
+        body = [raw[a:b] for a, b in zip((base + begin).tolist(), (base + end - 1 + length).tolist(), strict=True)]
+        cols = [mix(key).view(np.int64), sub.view(np.int64), seg[row], lo[row] + begin, lo[row] + end, place[row] - begin]
+        return pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int64)) for c in cols), pa.array(body, pa.binary())], ["anchor", "sub", "seg", "lo", "hi", "place", "body"])
+
+    return bodies.select("anchor", "seg", "lo", "place", "body").mapInArrow(run, "anchor long, sub long, seg long, lo long, hi long, place long, body binary")
 
 
 def shard_repeats(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,46 +229,22 @@ def shard_repeats(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndar
 
 
 def _compared(bodies: DataFrame, length: int, partitions: int) -> DataFrame:
-    """Kind 0: starts of seg from ``lo`` and before ``hi`` are repeated.  For anchors dealt over shards also, with the
-    print (h1, h2) of the string: kind 1, a start that is not repeated in its shard; kind 2, a string that is."""
+    """Which starts of seg (from ``lo`` and before ``hi``) are repeated among the bodies of their anchor."""
 
     def shard(rows: pa.Table) -> pa.RecordBatch:
         body = rows.column("body").to_pylist()
-        seg, many = rows.column("seg").to_numpy(), rows.column("many").to_numpy()
-        repeated, group = shard_repeats(body, length)
+        seg, base = rows.column("seg").to_numpy(), rows.column("lo").to_numpy()
+        repeated, _ = shard_repeats(body, length)
         counts = np.array([len(b) - length + 1 for b in body])
         owner = np.repeat(np.arange(len(body)), counts)
         within = np.arange(owner.size) - np.repeat(np.cumsum(counts) - counts, counts)
-        mark = np.zeros(owner.size + 1, bool)
-        mark[:-1] = repeated
-        begin = mark[:-1].copy()
-        begin[1:] &= ~(mark[:-2] & (owner[1:] == owner[:-1]))
-        stop = mark[:-1].copy()
-        stop[:-1] &= ~(mark[1:-1] & (owner[1:] == owner[:-1]))
+        begin = repeated.copy()
+        begin[1:] &= ~(repeated[:-1] & (owner[1:] == owner[:-1]))
+        stop = repeated.copy()
+        stop[:-1] &= ~(repeated[1:] & (owner[1:] == owner[:-1]))
         b, e = np.flatnonzero(begin), np.flatnonzero(stop)
-        out_seg, lo, hi = [seg[owner[b]]], [within[b]], [within[e] + 1]
-        h1, h2 = [np.zeros(b.size, np.int64)], [np.zeros(b.size, np.int64)]
-        kind = [np.zeros(b.size, np.int64)]
-        split = many[owner] > SHARD_SEGMENTS
-        if split.any():
-            data = np.frombuffer(b"".join(body), np.uint8)
-            sums = _sums(data)
-            again = _sums(data ^ np.uint8(0x55))
-            sizes = np.array([len(x) for x in body])
-            place = (np.cumsum(sizes) - sizes)[owner] + within
-            # what is repeated here needs no match elsewhere, but is one: a single row stands for each such string
-            first = np.zeros(owner.size, bool)
-            first[np.unique(group, return_index=True)[1]] = True
-            chosen = np.flatnonzero(split & (~repeated | first))
-            open_ = ~repeated[chosen]
-            out_seg.append(seg[owner[chosen]])
-            lo.append(within[chosen])
-            hi.append(within[chosen] + 1)
-            h1.append(_print_of(sums, place[chosen], place[chosen] + length).view(np.int64))
-            h2.append(_print_of(again, place[chosen], place[chosen] + length).view(np.int64))
-            kind.append(np.where(open_, 1, 2))
-        cols = [np.concatenate(x).astype(np.int64) for x in (kind, out_seg, lo, hi, h1, h2)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["kind", "seg", "lo", "hi", "h1", "h2"])
+        cols = seg[owner[b]], base[owner[b]] + within[b], base[owner[b]] + within[e] + 1
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], ["seg", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -233,23 +252,43 @@ def _compared(bodies: DataFrame, length: int, partitions: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("anchor", "block")], axis=1)
-            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                own = tuple(keys[a].tolist())
-                if size > SHARD_BYTES and own != last:
+            keys = batch.column("anchor").to_numpy()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for a, b in itertools.pairwise(edges):
+                if size > SHARD_BYTES and keys[a] != last:
                     yield shard(pa.Table.from_batches(held))
                     held, size = [], 0
                 part = batch.slice(a, b - a)
                 held.append(part)
-                last = own
-                size += sum(len(x) for x in part.column("body").to_pylist())
+                last = keys[a]
+                size += part.column("body").nbytes
         if held:
             yield shard(pa.Table.from_batches(held))
 
-    block = F.pmod(F.xxhash64("seg"), F.ceil(F.col("many") / SHARD_SEGMENTS)).cast("long")
-    dealt = bodies.withColumn("block", block).repartition(partitions, "anchor", "block").sortWithinPartitions("anchor", "block")
-    return dealt.mapInArrow(run, "kind long, seg long, lo long, hi long, h1 long, h2 long")
+    dealt = bodies.select("anchor", "seg", "lo", "body").repartition(partitions, "anchor").sortWithinPartitions("anchor")
+    return dealt.mapInArrow(run, "seg long, lo long, hi long")
+
+
+def _compared_in_bands(bodies: DataFrame, length: int, partitions: int, scratch: Scratch) -> DataFrame:
+    """The same for anchors of more than ``SHARD_SEGMENTS`` segments."""
+    big, ranges = scratch.keep(bodies, "many"), []
+    for width in WIDTHS:
+        if not big.head(1):
+            break
+        fine = scratch.keep(_bands(big, width, length), "bands")
+        subs = fine.groupBy("anchor", "sub").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("seg", "lo")).alias("one"))
+        subs = scratch.keep(subs, "band-counts")
+        ranges.append(fine.join(subs.where("n > 1").select("anchor", "sub"), ["anchor", "sub"]).select("seg", "lo", "hi"))
+        if width == 1:
+            break
+        open_ = subs.groupBy("anchor").agg(F.count(F.lit(1)).alias("many"), F.min("n").alias("least")).where("many > 1 and least = 1").select("anchor", "many")
+        chosen = subs.join(open_, "anchor").select("anchor", "sub", "many", F.col("one.seg").alias("seg"), F.col("one.lo").alias("lo"))
+        # one row for each different band
+        left = fine.join(chosen, ["anchor", "sub", "seg", "lo"]).select("anchor", "seg", "lo", "place", "many", "body")
+        left = scratch.keep(left, "open-bands")
+        ranges.append(_compared(left.where(F.col("many") <= SHARD_SEGMENTS), length, partitions))
+        big = left.where(F.col("many") > SHARD_SEGMENTS)
+    return functools.reduce(DataFrame.unionByName, ranges) if ranges else big.select("seg", "lo", F.col("lo").alias("hi")).limit(0)
 
 
 def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -314,10 +353,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
     own = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *_digest_columns(text))
     same = (own.c1 == wanted.c1) & (own.c2 == wanted.c2) & own.doc_id.eqNullSafe(wanted._id)
     texts = scratch.keep(own.join(wanted, same).select("rid", own.c1, own.c2, "text", "marks"), "texts")
-    found = scratch.keep(_compared(_bodies(texts.select("text", "marks"), length, gram), length, partitions), "found")
-    across = found.where("kind > 0").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("kind") == 1).alias("open")).where("n > 1 and open").select("h1", "h2")
-    across = found.where("kind = 1").join(across, ["h1", "h2"]).select("seg", "lo", "hi")
-    ranges = found.where("kind = 0").select("seg", "lo", "hi").unionAll(across)
+    found = scratch.keep(_compared(_bodies(texts.select("text", "marks"), length, gram).where(F.col("many") <= SHARD_SEGMENTS), length, partitions), "found")
+    crowded = texts.where(F.exists("marks", lambda m: m["many"] > SHARD_SEGMENTS)).select("text", "marks")
+    in_bands = _compared_in_bands(_bodies(crowded, length, gram).where(F.col("many") > SHARD_SEGMENTS), length, partitions, scratch)
+    ranges = found.unionByName(scratch.keep(in_bands, "found-in-bands"))
     ranges = ranges.join(by_segment.where("n = 1").select("seg", "rid"), "seg").groupBy("rid").agg(F.collect_list(F.struct("seg", "lo", "hi")).alias("ranges"))
     none = F.array().cast("array<struct<seg:long,lo:long,hi:long>>")
     cuts = _cut(texts.join(ranges, "rid", "left").withColumn("ranges", F.coalesce("ranges", none)), length, gram)

@@ -1,184 +1,214 @@
 """Suffix arrays by induced sorting and permuted common prefixes, in numpy.
 
-A bucket's queue is processed in batches: all suffixes that stand in it at once
-induce their predecessors together, and those that fall into the same bucket
-form the next batch.  Every suffix is induced once, so the work is linear; the
-Python overhead is that of the alphabet and the longest run of one byte.
+Suffixes are classified, the leftmost-smaller substrings are brought into order
+by one round of inducing and named by their characters, the string of names is
+sorted by the same method, and its order induces all other suffixes.
+
+Inducing reads the array from one end to the other.  A window of it is taken at
+once as long as nothing that it places falls into the window itself, which is
+what reading it one by one would do; where windows stay short (long runs), it is
+read one by one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from tidewatch.llm.textblock import mix
+#: Entries in a window at first and at most; entries read one by one after so many windows of so few.
+WINDOW, MOST_WINDOW = 1024, 1 << 15
+FEW, PATIENCE, SINGLES = 64, 8, 4096
 
 
 def _types(s: np.ndarray) -> np.ndarray:
-    """True where the suffix is smaller than the next one; the last suffix is (it has an end before it all)."""
-    n = s.size
-    out = np.ones(n, bool)
-    if n > 1:
+    """True where the suffix is smaller than the next one; the last suffix is."""
+    out = np.ones(s.size, bool)
+    if s.size > 1:
         differs = np.flatnonzero(s[1:] != s[:-1])
-        smaller = s[:-1] < s[1:]
+        smaller = s[differs] < s[differs + 1]
         # the type of a run is decided where the run ends
-        where = np.searchsorted(differs, np.arange(n - 1))
-        inside = where < differs.size
-        out[:-1][inside] = smaller[differs[where[inside]]]
-        out[:-1][~inside] = False  # a run up to the end: each suffix is larger than the next
-        out[-1] = True
+        run = np.diff(np.append(-1, differs))
+        out[: differs[-1] + 1] = np.repeat(smaller, run)
     return out
 
 
+def _pass(s: np.ndarray, small: np.ndarray, sa: np.ndarray, edge: np.ndarray, upward: bool) -> None:
+    """Induces the larger suffixes reading upwards, or the smaller ones reading downwards; ``edge`` is the open end of each bucket."""
+    n, width, poor = sa.size, WINDOW, 0
+    i = 0 if upward else n
+    lists: tuple[list, list] | None = None
+    entry, free = memoryview(sa), memoryview(edge)
+    while i < n if upward else i > 0:
+        if poor >= PATIENCE:
+            poor = 0
+            lists = lists or (s.tolist(), small.tolist())
+            chars, types = lists
+            if upward:
+                for at in range(i, min(n, i + SINGLES)):
+                    p = entry[at] - 1
+                    if p >= 0 and not types[p]:
+                        c = chars[p]
+                        entry[free[c]] = p
+                        free[c] += 1
+                i = min(n, i + SINGLES)
+            else:
+                for at in range(i - 1, max(0, i - SINGLES) - 1, -1):
+                    p = entry[at] - 1
+                    if p >= 0 and types[p]:
+                        c = chars[p]
+                        free[c] = q = free[c] - 1
+                        entry[q] = p
+                i = max(0, i - SINGLES)
+            continue
+        if upward:
+            window, at = sa[i : i + width], np.arange(i, min(n, i + width))
+        else:
+            low = max(0, i - width)
+            window, at = sa[low:i][::-1], np.arange(i - 1, low - 1, -1)
+        before = window - 1
+        some = np.flatnonzero(before >= 0)
+        some = some[small[before[some]] != upward]
+        size = window.size
+        if some.size:
+            found, at = before[some], at[some]
+            char = s[found]
+            # nothing may fall on what the window has read: the nearest target of all entries up to each one
+            if upward:
+                nearest = np.minimum.accumulate(edge[char])
+                k = int((nearest > at).sum())
+                reach = min(i + size, int(nearest[k - 1]), int(at[k]) if k < at.size else n)
+            else:
+                nearest = np.maximum.accumulate(edge[char] - 1)
+                k = int((nearest < at).sum())
+                reach = max(i - size, int(nearest[k - 1]) + 1, int(at[k]) + 1 if k < at.size else 0)
+            found, char = found[:k], char[:k]
+            order = np.argsort(char.astype(np.uint16) if edge.size <= 1 << 16 else char, kind="stable")
+            char, found = char[order], found[order]
+            head = np.flatnonzero(np.append(True, char[1:] != char[:-1]))
+            number = np.diff(np.append(head, char.size))
+            rank = np.arange(char.size) - np.repeat(head, number)
+            if upward:
+                sa[edge[char] + rank] = found
+                edge[char[head]] += number.astype(edge.dtype)
+            else:
+                sa[edge[char] - 1 - rank] = found
+                edge[char[head]] -= number.astype(edge.dtype)
+            done = abs(reach - i)
+            poor = poor + 1 if done < FEW else 0
+            width = min(MOST_WINDOW, max(256, 2 * done))
+            i = reach
+        else:
+            i += size if upward else -size
+
+
 def _induce(s: np.ndarray, small: np.ndarray, seeds: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The order induced from ``seeds`` (leftmost-smaller suffixes in the order wanted within each bucket)."""
-    n, k = s.size, starts.size
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(s.size, -1, np.int32)
     char = s[seeds]
     # seeds stand at the end of their buckets
-    counts = np.bincount(char, minlength=k)
+    counts = np.bincount(char, minlength=starts.size)
     order = np.argsort(char, kind="stable")
-    sorted_char = char[order]
-    first = np.cumsum(counts) - counts
-    sa[ends[sorted_char] - counts[sorted_char] + np.arange(seeds.size) - first[sorted_char]] = seeds[order]
-    head = starts.copy()
-
-    def place(found: np.ndarray, c: int, upward: bool) -> np.ndarray:
-        """Puts suffixes at the open end of their buckets; returns those of bucket ``c``."""
-        ch = s[found]
-        ordered = np.argsort(ch, kind="stable")
-        ch, found = ch[ordered], found[ordered]
-        number = np.bincount(ch, minlength=k)
-        rank = np.arange(found.size) - (np.cumsum(number) - number)[ch]
-        if upward:
-            sa[head[ch] + rank] = found
-            head[:] += number
-        else:
-            sa[tail[ch] - 1 - rank] = found
-            tail[:] -= number
-        return found[ch == c]
-
-    present = np.flatnonzero(ends > starts)
-    last_is_large = n > 0 and not small[n - 1]
-    if last_is_large:
-        sa[head[s[n - 1]]] = n - 1
-        head[s[n - 1]] += 1
-    seeded = counts
-    for c in present.tolist():
-        batch = sa[starts[c] : head[c]]
-        while batch.size:
-            before = batch[batch > 0] - 1
-            before = before[~small[before]]
-            batch = place(before, c, True) if before.size else before
-        own = sa[ends[c] - seeded[c] : ends[c]]
-        if own.size:
-            before = own[own > 0] - 1
-            before = before[~small[before]]
-            if before.size:
-                place(before, c, True)
+    char = char[order]
+    place = ends[char] - counts[char] + np.arange(seeds.size) - (np.cumsum(counts) - counts)[char]
+    sa[place] = seeds[order]
+    _pass(s, small, sa, starts.copy(), True)
     # the seeds leave, and the smaller ones are induced from the larger
-    for c in np.flatnonzero(seeded).tolist():
-        sa[ends[c] - seeded[c] : ends[c]] = -1
+    sa[place] = -1
     tail = ends.copy()
-    if n and small[n - 1]:
-        sa[tail[s[n - 1]] - 1] = n - 1
-        tail[s[n - 1]] -= 1
-    for c in present[::-1].tolist():
-        batch = sa[tail[c] : ends[c]][::-1]
-        while batch.size:
-            before = batch[batch > 0] - 1
-            before = before[small[before]]
-            batch = place(before, c, False) if before.size else before
-        own = sa[starts[c] : head[c]][::-1]
-        if own.size:
-            before = own[own > 0] - 1
-            before = before[small[before]]
-            if before.size:
-                place(before, c, False)
+    sa[0] = s.size - 1
+    tail[0] = 0
+    _pass(s, small, sa, tail, False)
     return sa
 
 
-def _order_names(names: np.ndarray) -> np.ndarray:
-    """The suffix order of the reduced string, by doubling the length that ranks stand for.
-
-    Its alphabet is as large as the string, where batches by bucket would hold
-    one suffix each.
-    """
-    n, rank, h = names.size, names.astype(np.int64), 1
-    while True:
-        second = np.zeros(n, np.int64)
-        if h < n:
-            second[:-h] = rank[h:] + 1
-        key = rank * np.int64(n + 2) + second
-        values, rank = np.unique(key, return_inverse=True)
-        if values.size == n:
-            return np.argsort(rank)
-        h *= 2
+def _same_as_before(s: np.ndarray, ordered: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """For each substring in order, whether it equals the one before, character by character."""
+    same = np.append(False, length[1:] == length[:-1])
+    live = np.flatnonzero(same)
+    at = 0
+    while live.size > 64:
+        a, b = ordered[live], ordered[live - 1]
+        equal = s[a + at] == s[b + at]
+        same[live[~equal]] = False
+        live = live[equal]
+        at += 1
+        live = live[length[live] > at]
+    for k in live.tolist():
+        a, b, n = int(ordered[k]), int(ordered[k - 1]), int(length[k])
+        same[k] = np.array_equal(s[a + at : a + n], s[b + at : b + n])
+    return same
+
+
+def _sort(s: np.ndarray, alphabet: int) -> np.ndarray:
+    """The suffix array of a string whose last character is its only 0."""
+    counts = np.bincount(s, minlength=alphabet)
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    small = _types(s)
+    leftmost = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
+    if leftmost.size > 1:
+        # leftmost-smaller substrings in order, up to and with the first character of the next
+        rough = _induce(s, small, leftmost, starts, ends)
+        length = np.zeros(s.size, np.int32)
+        length[leftmost[:-1]] = np.diff(leftmost) + 1
+        length[leftmost[-1]] = 1
+        ordered = rough[length[rough] > 0]
+        new = ~_same_as_before(s, ordered, length[ordered])
+        names = int(new.sum())
+        if names < ordered.size:
+            name = np.zeros(s.size, np.int32)
+            name[ordered] = np.cumsum(new) - 1
+            ordered = leftmost[_sort(name[leftmost], names)]
+        leftmost = ordered
+    return _induce(s, small, leftmost, starts, ends)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Positions of all suffixes of a byte array in order (a suffix precedes its extensions)."""
-    s = np.asarray(text, np.uint8).astype(np.int64)
-    n = s.size
-    if n < 2:
-        return np.arange(n)
-    s = np.append(s + 1, 0)  # an end smaller than all bytes
-    counts = np.bincount(s, minlength=257)
-    ends = np.cumsum(counts)
-    starts = ends - counts
-    small = _types(s)
-    leftmost = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    if leftmost.size <= 1:
-        return _induce(s, small, leftmost, starts, ends)[1:]
-    # leftmost-smaller substrings in order
-    rough = _induce(s, small, leftmost, starts, ends)
-    is_leftmost = np.zeros(n + 1, bool)
-    is_leftmost[leftmost] = True
-    ordered = rough[is_leftmost[rough]]
-    # equal neighbours share a name: same length and same bytes up to the next leftmost-smaller suffix
-    following = np.append(leftmost[1:], n)
-    until = np.zeros(n + 1, np.int64)
-    until[leftmost] = following + 1
-    until[n] = n + 1
-    powers = np.cumprod(np.append(np.uint64(1), np.full(n + 1, 0x9E3779B97F4A7C15, np.uint64)))
-    inverse = np.cumprod(np.append(np.uint64(1), np.full(n + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64)))
-    code = mix(np.arange(1, 258, dtype=np.uint64))
-    sums = np.append(np.uint64(0), np.cumsum(code[s] * powers[: n + 1]))
-    print_of = (sums[until[ordered]] - sums[ordered]) * inverse[ordered]
-    length = until[ordered] - ordered
-    new = np.ones(ordered.size, bool)
-    new[1:] = (print_of[1:] != print_of[:-1]) | (length[1:] != length[:-1])
-    name = np.zeros(n + 1, np.int64)
-    name[ordered] = np.cumsum(new) - 1
-    reduced = name[leftmost]
-    if int(new.sum()) < ordered.size:
-        ordered = leftmost[_order_names(reduced)]
-    return _induce(s, small, ordered, starts, ends)[1:]
+    text = np.asarray(text, np.uint8)
+    if text.size < 2:
+        return np.arange(text.size, dtype=np.int32)
+    return _sort(np.append(text.astype(np.int32) + 1, np.int32(0)), 257)[1:]
 
 
 def permuted_prefixes(text: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     """For each position, the length it has in common with the suffix before it in order, at most ``limit``.
 
-    The predecessor of each position is permuted back to text order; eight bytes
-    are compared at a time for all positions that still agree.
+    The predecessor of each position is permuted back to text order, where a
+    position has at least what one ``d`` before it has, less ``d``.  Every 64th
+    position is compared first, then those half way between, each from what is
+    known of the one before, so the work grows with the text and not with the
+    lengths.
     """
     n = sa.size
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     if n < 2:
         return out
     padded = np.concatenate([np.asarray(text, np.uint8), np.zeros(limit + 16, np.uint8)])
     words = np.ndarray((padded.size - 7,), "<u8", padded, strides=(1,))
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    live = np.flatnonzero(before >= 0)
-    other = before[live]
-    at = 0
-    while live.size and at < limit:
-        x = words[live + at] ^ words[other + at]
-        same = x == 0
-        low = x[~same]
-        out[live[~same]] = at + (np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)) >> 3)
-        live, other = live[same], other[same]
-        at += 8
-    out[live] = limit
-    room = n - np.maximum(np.arange(n), before)
-    return np.minimum(np.minimum(out, limit), np.where(before >= 0, room, 0))
+    step = 64
+    first = np.arange(0, n, step)
+    while True:
+        known = np.maximum(0, out[first - step] - step) if step < 64 else np.zeros(first.size, np.int32)
+        if step < 64:
+            known[first < step] = 0
+        has = before[first] >= 0
+        live, at = first[has], known[has]
+        other = before[live]
+        while live.size:
+            x = words[live + at] ^ words[other + at]
+            equal = x == 0
+            low = x[~equal]
+            out[live[~equal]] = at[~equal] + (np.bitwise_count((low & (~low + np.uint64(1))) - np.uint64(1)) >> 3)
+            live, other, at = live[equal], other[equal], at[equal] + 8
+            full = at >= limit
+            out[live[full]] = limit
+            live, other, at = live[~full], other[~full], at[~full]
+        # nothing is common beyond the end
+        room = n - np.maximum(first, before[first])
+        out[first] = np.where(has, np.minimum(np.minimum(out[first], limit), room), 0)
+        step //= 2
+        if not step:
+            return out
+        first = np.arange(step, n, 2 * step)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 #: A-Z to a-z, all other bytes unchanged.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -40,7 +40,7 @@ _POW: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _POW[0].size < n:
-        size = 1 << max(12, int(n).bit_length())
+        size = max(4096, n + n // 8)
         _POW[0], _POW[1] = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
     return _POW[0], _POW[1]
 
