@@ -250,7 +250,7 @@ def near_rows(rng):
     return rows
 
 
-@pytest.mark.parametrize("block", [1024, 16])
+@pytest.mark.parametrize("block", [256, 8])
 def test_near_duplicates(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
     rows = near_rows(random.Random(5)) + [(9001, ""), (9002, None), (9003, "one two"), (9004, "One  two"), (9005, "two one")]

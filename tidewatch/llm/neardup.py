@@ -7,10 +7,11 @@
 3. Representatives that share a band key are candidates.  In each bucket all are
    compared with one centre, by signature first (collision-corrected estimate
    from bit counts, with a slack of six standard deviations), then on full sets.
-4. Whatever is still in different components within a bucket is compared there
-   member by member: bit counts pick the texts with a possible partner, exact
-   intersection counts through the bucket's inverted index decide.  Large buckets
-   are dealt out as pairs of blocks, so a task never holds more than two blocks.
+4. Where a bucket's members are still in several components, those outside its
+   largest one (its strays) are compared with all: the bucket is dealt out in
+   blocks, each member to one of them, and the strays stream past every block.
+   Bit counts pick the texts with a possible partner, exact intersection counts
+   through the block's inverted index decide.  A task holds one block.
 5. Components over the confirmed links give the groups.
 
 Band keys miss a pair of similarity 0.8 with probability (1 - 0.8^4)^32 < 1e-7.
@@ -24,6 +25,7 @@ whose links are those of all its rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +42,8 @@ BANDS, ROWS, BITS = 32, 4, 4
 HASHES = BANDS * ROWS
 #: Estimates this far under the threshold are still confirmed: six standard deviations at 128 hashes and 4 bits.
 SLACK = 0.22
-#: Members of a block of a bucket.
-BLOCK = 1024
+#: Members of a block of a bucket, and shingles of all its members, on average.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 18
 
 _RNG = np.random.default_rng(77)
 _XOR = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -169,108 +171,119 @@ def _similar(a: str, b: str, percent: int) -> F.Column:
     return shared * 100 >= (F.size(a) + F.size(b) - shared) * percent
 
 
-def _links_in_bucket(ids: np.ndarray, roots: np.ndarray, side: np.ndarray, sigs: np.ndarray, flat: np.ndarray, at: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links between members of different components (one or two blocks: ``side``), enough to join all that are linked."""
-    n = ids.size
-    _, label = np.unique(roots, return_inverse=True)
-    label = label.copy()
-    two = side.min() != side.max()
-    token = np.unique(flat, return_inverse=True)[1]
-    owner = np.repeat(np.arange(n), np.diff(at))
-    order = np.argsort(token, kind="stable")
-    holders = owner[order]
-    first = np.searchsorted(token[order], np.arange(token.max() + 2 if token.size else 1))
-    sizes = np.diff(at)
-    out = []
-    # The members of the largest component are only compared as partners of others.
-    largest = np.bincount(label).argmax()
-    for x in np.flatnonzero(label != largest):
-        other = label != label[x]
-        if two:
-            other &= side != side[x]
-        if not other.any():
-            continue
-        possible = other & (estimate(sigs, sigs[x]) >= percent / 100 - SLACK) & (np.minimum(sizes, sizes[x]) * 100 >= np.maximum(sizes, sizes[x]) * percent)
-        if not possible.any():
-            continue
-        mine = token[at[x] : at[x + 1]]
-        counts = first[mine + 1] - first[mine]
-        take = np.repeat(first[mine] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        shared = np.bincount(holders[take], minlength=n)
-        linked = np.flatnonzero(possible & (shared * 100 >= (sizes + sizes[x] - shared) * percent))
-        for y in linked.tolist():
-            if label[y] != label[x]:
-                out.append((int(ids[x]), int(ids[y])))
-                label[label == label[y]] = label[x]
-    return out
-
-
-def _by_bucket(members: DataFrame, partitions: int, each, schema: str) -> DataFrame:
-    """``each`` (a table of one bucket or pair of blocks, to a batch or None) over members dealt by band, i, j."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        current = None
-
-        def done() -> pa.RecordBatch | None:
-            table = pa.Table.from_batches(held).combine_chunks()
-            return each(table) if table.num_rows > 1 else None
-
-        for batch in batches:
-            if not batch.num_rows:
+class _Signatures:
+    """Finds members of a block and strays with a possible partner in another component."""
+
+    schema = "band long, j int, side int, doc_id long, root long"
+    names = ("band", "j", "side", "doc_id", "root")
+
+    def __init__(self, block: pa.Table, percent: int):
+        self.block, self.least = block, percent / 100 - SLACK
+        self.sig, self.root = _signature_rows(block), block.column("root").to_numpy()
+        self.near = np.zeros(block.num_rows, bool)
+
+    def _chosen(self, table: pa.Table, which: np.ndarray) -> pa.Table:
+        return table.filter(pa.array(which)).select(self.names)
+
+    def meet(self, strays: pa.Table) -> pa.Table:
+        own = np.zeros(strays.num_rows, bool)
+        for i, (sig, root) in enumerate(zip(_signature_rows(strays), strays.column("root").to_numpy(), strict=True)):
+            partner = (estimate(self.sig, sig) >= self.least) & (self.root != root)
+            own[i] = partner.any()
+            self.near |= partner
+        return self._chosen(strays, own)
+
+    def finish(self) -> pa.Table:
+        return self._chosen(self.block, self.near)
+
+
+class _Sets:
+    """Finds links between strays and members of a block in other components, enough to join all that are linked."""
+
+    schema = "a long, b long"
+
+    def __init__(self, block: pa.Table, percent: int):
+        self.percent, self.ids, self.root = percent, block.column("doc_id").to_numpy(), block.column("root").to_numpy().copy()
+        self.sig = _signature_rows(block)
+        flat, at = _list_column(block, "shingles")
+        self.sizes = np.diff(at)
+        order = np.argsort(flat, kind="stable")
+        self.holders = np.repeat(np.arange(self.ids.size), self.sizes)[order]
+        self.tokens, self.first = np.unique(flat[order], return_index=True)
+        self.first = np.append(self.first, flat.size)
+        self.joined: dict[int, int] = {}
+
+    def meet(self, strays: pa.Table) -> pa.Table:
+        out = []
+        flat, at = _list_column(strays, "shingles")
+        for i, (x, root, sig) in enumerate(zip(strays.column("doc_id").to_pylist(), strays.column("root").to_pylist(), _signature_rows(strays), strict=True)):
+            while root in self.joined:
+                root = self.joined[root]
+            mine = flat[at[i] : at[i + 1]]
+            possible = (self.root != root) & (estimate(self.sig, sig) >= self.percent / 100 - SLACK)
+            possible &= np.minimum(self.sizes, mine.size) * 100 >= np.maximum(self.sizes, mine.size) * self.percent
+            if not possible.any():
                 continue
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "i", "j")], axis=1)
-            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                own = tuple(keys[a].tolist())
-                if held and own != current:
-                    if (out := done()) is not None:
-                        yield out
-                    held = []
-                current = own
-                held.append(batch.slice(a, b - a))
-        if held and (out := done()) is not None:
-            yield out
-
-    return members.repartition(partitions, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, schema)
+            token = np.searchsorted(self.tokens, mine)
+            token = token[self.tokens[np.minimum(token, self.tokens.size - 1)] == mine]
+            counts = self.first[token + 1] - self.first[token]
+            take = np.repeat(self.first[token] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            shared = np.bincount(self.holders[take], minlength=self.ids.size)
+            for y in np.flatnonzero(possible & (shared * 100 >= (self.sizes + mine.size - shared) * self.percent)).tolist():
+                other = int(self.root[y])
+                if other != root:
+                    out.append((x, int(self.ids[y])))
+                    self.joined[other] = root
+                    self.root[self.root == other] = root
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    def finish(self) -> None:
+        return None
 
 
 def _signature_rows(table: pa.Table) -> np.ndarray:
     return table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
 
 
-def _close(members: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """The members (band, i, j, side, doc_id, root) with a possible partner in another component of their bucket."""
-    names = ["band", "i", "j", "side", "doc_id", "root"]
+def _list_column(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    lists = table.column(name).combine_chunks()
+    at = lists.offsets.to_numpy().astype(np.int64)
+    return lists.values.to_numpy()[at[0] : at[-1]], at - at[0]
 
-    def each(table: pa.Table) -> pa.RecordBatch | None:
-        sig = _signature_rows(table)
-        _, label = np.unique(table.column("root").to_numpy(), return_inverse=True)
-        side = table.column("side").to_numpy()
-        two = side.min() != side.max()
-        near = np.zeros(table.num_rows, bool)
-        for x in np.flatnonzero(label != np.bincount(label).argmax()):
-            partner = (label != label[x]) & (estimate(sig, sig[x]) >= percent / 100 - SLACK)
-            if two:
-                partner &= side != side[x]
-            if partner.any():
-                near |= partner
-                near[x] = True
-        return table.filter(pa.array(near)).select(names).combine_chunks().to_batches()[0] if near.any() else None
 
-    return _by_bucket(members, partitions, each, "band long, i int, j int, side int, doc_id long, root long")
+def _by_block(members: DataFrame, percent: int, partitions: int, kind: type) -> DataFrame:
+    """``kind`` over ``members`` (with band, j, side) dealt by band and j: made of a block (side 0), then met by its strays (side 1) a few at a time."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        current, block = None, None
 
-def _rest(members: DataFrame, percent: int, partitions: int) -> DataFrame:
-    """Links within buckets; ``members``: band, i, j, side, doc_id, root, sig, shingles."""
-
-    def each(table: pa.Table) -> pa.RecordBatch | None:
-        lists = table.column("shingles").combine_chunks()
-        at = lists.offsets.to_numpy().astype(np.int64)
-        found = _links_in_bucket(table.column("doc_id").to_numpy(), table.column("root").to_numpy(), table.column("side").to_numpy(), _signature_rows(table), lists.values.to_numpy()[at[0] : at[-1]], at - at[0], percent)
-        return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}) if found else None
+        def out(table: pa.Table | None) -> list[pa.RecordBatch]:
+            return table.combine_chunks().to_batches() if table is not None and table.num_rows else []
 
-    return _by_bucket(members, partitions, each, "a long, b long")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("band", "j", "side")], axis=1)
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for a, b in itertools.pairwise(edges):
+                own, side = (int(keys[a, 0]), int(keys[a, 1])), int(keys[a, 2])
+                if own != current:
+                    if block is not None:
+                        yield from out(block.finish())
+                    held, block, current = [], None, own
+                if side == 0:
+                    held.append(batch.slice(a, b - a))
+                    continue
+                if held:
+                    block, held = kind(pa.Table.from_batches(held).combine_chunks(), percent), []
+                if block is not None:
+                    for at in range(a, b, BLOCK):
+                        yield from out(block.meet(pa.Table.from_batches([batch.slice(at, min(BLOCK, b - at))]).combine_chunks()))
+        if block is not None:
+            yield from out(block.finish())
+
+    return members.repartition(partitions, "band", "j").sortWithinPartitions("band", "j", "side").mapInArrow(run, kind.schema)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
@@ -282,12 +295,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = (
         rows.where("doc_id is not null and n_shingles > 0")
         .groupBy("c1", "c2")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+        .agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
     )
     classes = scratch.keep(classes, "classes")
-    members = classes.select("rep", F.explode("bands").alias("band"))
+    members = classes.select("rep", "n_shingles", F.explode("bands").alias("band"))
     rank = F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("rep"))
-    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("centre")).where("n > 1").select("band", "n", F.col("centre.rep").alias("centre"))
+    buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("centre")).where("n > 1").select("band", F.col("centre.rep").alias("centre"))
     members = scratch.keep(members.join(buckets, "band"), "members")
     sig = classes.select(F.col("rep").alias("doc_id"), "c1", "c2", "sig")
     # centres: by signature, then on full sets
@@ -300,17 +313,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = scratch.keep(both.where(_similar("xa", "xb", percent)).select("a", "b"), "links")
     first = components(links, scratch)
     # what is still apart within a bucket: by signature, then on full sets
-    rooted = members.join(first, members.rep == first.node, "left").select("band", "n", "rep", F.coalesce("root", "rep").alias("root"))
-    apart = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    blocks_of = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), blocks_of).cast("int")
-    rest = rooted.join(apart, "band").select("band", F.col("rep").alias("doc_id"), "root", mine.alias("side"), F.explode(F.sequence(F.lit(0), blocks_of - 1)).alias("o"))
-    rest = rest.select("band", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), "side", "doc_id", "root").join(sig.select("doc_id", "sig"), "doc_id")
-    close = scratch.keep(_close(rest, percent, partitions), "close")
+    rooted = scratch.keep(members.join(first, members.rep == first.node, "left").select("band", "n_shingles", F.col("rep").alias("doc_id"), F.coalesce("root", "rep").alias("root")), "rooted")
+    parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    apart = parts.groupBy("band").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    blocks_of = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    apart = scratch.keep(apart.select("band", blocks_of, F.col("top.root").alias("top")), "apart")
+    rest = rooted.join(apart, "band")
+    placed = rest.select("band", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("j"), F.lit(0).alias("side"), "doc_id", "root")
+    strays = rest.where("root <> top").select("band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(1).alias("side"), "doc_id", "root")
+    close = scratch.keep(_by_block(placed.unionAll(strays).join(sig.select("doc_id", "sig"), "doc_id"), percent, partitions, _Signatures), "close")
     missing = close.select("doc_id").distinct().join(sets.select("doc_id"), "doc_id", "left_anti")
     missing = scratch.keep(sig.drop("sig").join(missing, "doc_id"), "missing")
     more_sets = _full_sets(docs, missing, shingle, text, key).unionByName(sets)
-    more = _rest(close.join(sig.select("doc_id", "sig"), "doc_id").join(more_sets, "doc_id"), percent, partitions)
+    more = _by_block(close.join(sig.select("doc_id", "sig"), "doc_id").join(more_sets, "doc_id"), percent, partitions, _Sets)
     more = scratch.keep(more.distinct(), "links")
     # an id whose rows are in several classes joins them
     several = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("c1", "c2")).alias("lo"), F.max(F.struct("c1", "c2")).alias("hi")).where("lo <> hi").select("doc_id")
