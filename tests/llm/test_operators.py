@@ -439,16 +439,27 @@ def test_bpe(awkward, empty):
 
 
 @pytest.mark.parametrize("least", [128, 1])
-def test_chunks_agree_with_the_library(monkeypatch, least):
+def test_chunks_agree_with_the_library(spark, monkeypatch, least):
     monkeypatch.setattr(bpe, "CHUNK_MIN", least)
     monkeypatch.setattr(bpe, "_SHIFTS", np.uint64(61))
-    coder, rng = bpe.ChunkEncoder(tokens.byte_encoder("byte_bpe_50k.json")), random.Random(10)
+    coder, rng = tokens.byte_encoder("byte_bpe_50k.json"), random.Random(10)
+    joiner = bpe.Joiner(coder)
     pool = ["the", " the", "'s", " don't", "\n\n", "   ", "é", " 漢字", "123", "!?", "🙂", "<|endoftext|>", "\t", "´", " it's", "\xa0", "\x1c"]
     texts = ["".join(rng.choices(pool, k=rng.randrange(0, 120))) for _ in range(300)]
-    for t in texts + texts[:50]:
+    for t in texts:
         raw = t.encode()
-        assert coder.encode(raw, bpe.cut_points(np.frombuffer(raw, np.uint8)).tolist()) == coder.encoder.by_library(t)
-    assert coder.reused > 0
+        starts, ends, _ = bpe.chunk_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), tuple(s.encode() for s in coder.special))
+        assert joiner.join(bpe.encode_chunk(raw[a:b], coder) for a, b in zip(starts, ends, strict=True)) == coder.by_library(t)
+
+
+def test_chunks_are_shared_across_documents(spark):
+    rng = random.Random(12)
+    passage = " ".join(words_of(rng, 900))
+    rows = [(i, " ".join(words_of(rng, rng.randrange(5, 60))) + " " + passage + " " + " ".join(words_of(rng, 30))) for i in range(40)]
+    places, distinct = bpe.reuse(table(spark, rows))
+    assert distinct < 0.35 * places
+    coder = tokens.byte_encoder("byte_bpe_50k.json")
+    assert {r.doc_id: r.ids for r in bpe.encode(table(spark, rows)).collect()} == {i: coder.by_library(t) for i, t in rows}
 
 
 def test_word_encoder_agrees_with_the_library():

@@ -1,18 +1,22 @@
 """BPE encoding with content-defined chunk reuse, and decoding.
 
-A text's bytes are cut where a rolling hash of the last eight bytes hits a
-mask, so a passage shared by documents is cut alike wherever it stands.  Each
-distinct chunk is encoded once by a worker and kept (a bounded memo); only the
-part between its first and last *safe* boundary is kept as ids.  A boundary is
-safe between an ASCII graphic character and a following blank or line feed: the
-byte-level split never runs across it and looks at nothing before it, so ids on
-both sides are the same in any surroundings.  At a join, what lies between the
-last safe boundary on the left and the first on the right is encoded anew; when
-the right chunk has none, the stretch grows until one comes or the text ends,
-and from there both encodings agree exactly.
-
-Reuse is per worker on purpose: a corpus-wide exchange of chunks would move
-more bytes than encoding them costs, and would have to be repeated after a loss.
+1. A text's bytes are cut where a rolling hash of the last eight bytes hits a
+   mask, so a passage shared by documents is cut alike wherever it stands.
+2. Chunks meet by content hash, whatever documents they come from, and each
+   distinct one is encoded once.  Only the part between its first and last *safe*
+   boundary is kept as ids.  A boundary is safe between an ASCII graphic character
+   and a following blank or line feed: the byte-level split never runs across it
+   and looks at nothing before it, so ids on both sides are the same in any
+   surroundings.
+3. The encoded chunks go back to the places that hold them, and each document's
+   joins are repaired: what lies between the last safe boundary on the left and
+   the first on the right is encoded anew; when the right chunk has none, the
+   stretch grows until one comes or the text ends, and from there both encodings
+   agree exactly.
+
+A chunk's places are joined, never gathered, so a chunk that a third of all
+documents hold is no hot task; a document's chunks are gathered, as its ids are.
+Texts with the string of a special token are cut nowhere.
 
 Edge cases: null and empty texts have no ids and decode to the empty string;
 a text without any safe boundary is encoded whole; ``doc_id`` may be null or
@@ -21,21 +25,25 @@ repeat, rows are never merged; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewatch.llm import tokens
-from tidewatch.llm.textblock import blocks, mix, text_bytes
+from tidewatch.llm.scratch import Scratch
+from tidewatch.llm.textblock import blocks, mix, span_hashes, text_bytes
 
 #: The vocabulary of the contract query.
 VOCABULARY = "byte_bpe_50k.json"
 #: One cut in this many bytes, and no chunk shorter than that before its cut.
 CHUNK_BITS, CHUNK_MIN = 9, 128
-MEMO_CHUNKS = 60_000
+#: Joins that a task remembers, and bytes of each.
+MEMO_JOINS, MEMO_BYTES = 100_000, 64
 
 _FIRST = re.compile(rb"[!-~](?=[ \n])")
 _LAST = re.compile(rb"(?s:.*)[!-~](?=[ \n])")
@@ -55,80 +63,138 @@ def cut_points(data: np.ndarray) -> np.ndarray:
     return hits[hits < data.size]
 
 
-class ChunkEncoder:
-    """Encodes texts chunk by chunk; ``encoded`` and ``reused`` count chunks."""
-
-    def __init__(self, encoder, memo_chunks: int = MEMO_CHUNKS):
-        self.encoder, self.limit = encoder, memo_chunks
-        self.memo: dict[bytes, tuple[bytes, bytes, bytes] | None] = {}
-        self.joins: dict[bytes, bytes] = {}
-        self.encoded = self.reused = 0
-
-    def _chunk(self, raw: bytes) -> tuple[bytes, bytes, bytes] | None:
-        """Bytes before the first safe boundary, ids up to the last, bytes after it; None without any."""
-        if raw in self.memo:
-            self.reused += 1
-            return self.memo[raw]
-        self.encoded += 1
-        first = _FIRST.search(raw)
-        if first is None:
-            out = None
-        else:
-            i, j = first.end(), _LAST.match(raw).end()
-            out = raw[:i], self.encoder.encode(raw[i:j].decode()) if j > i else b"", raw[j:]
-        if len(self.memo) >= self.limit:
-            self.memo.clear()
-        self.memo[raw] = out
-        return out
-
-    def _join(self, raw: bytes) -> bytes:
-        out = self.joins.get(raw)
+def chunk_spans(data: np.ndarray, off: np.ndarray, special: tuple[bytes, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the chunks of all rows, at least one to a row, and the n + 1 offsets of each row's chunks."""
+    cuts = cut_points(data)
+    raw = data.tobytes() if special else b""
+    starts, ends, count = [], [], []
+    for a, b in itertools.pairwise(off.tolist()):
+        own = cuts[np.searchsorted(cuts, a, "right") : np.searchsorted(cuts, b, "left")].tolist()
+        if any(raw.find(s, a, b) >= 0 for s in special):
+            own = []
+        n, at = len(starts), a
+        for cut in own:
+            if cut - at >= CHUNK_MIN:
+                starts.append(at)
+                ends.append(cut)
+                at = cut
+        starts.append(at)
+        ends.append(b)
+        count.append(len(starts) - n)
+    return np.array(starts, np.int64), np.array(ends, np.int64), np.append(0, np.cumsum(count)).astype(np.int64)
+
+
+def encode_chunk(raw: bytes, encoder) -> tuple[bytes, bytes | None, bytes]:
+    """Bytes before the first safe boundary, ids up to the last, bytes after it; without any boundary all bytes and no ids."""
+    first = _FIRST.search(raw)
+    if first is None:
+        return raw, None, b""
+    i, j = first.end(), _LAST.match(raw).end()
+    return raw[:i], encoder.encode(raw[i:j].decode()) if j > i else b"", raw[j:]
+
+
+class Joiner:
+    """Puts a document's ids together from its encoded chunks."""
+
+    def __init__(self, encoder, limit: int = MEMO_JOINS):
+        self.encoder, self.limit, self.memo = encoder, limit, {}
+
+    def _ids(self, raw: bytes) -> bytes:
+        out = self.memo.get(raw)
         if out is None:
             out = self.encoder.encode(raw.decode())
-            if len(raw) <= 64:
-                if len(self.joins) >= 4 * self.limit:
-                    self.joins.clear()
-                self.joins[raw] = out
+            if len(raw) <= MEMO_BYTES:
+                if len(self.memo) >= self.limit:
+                    self.memo.clear()
+                self.memo[raw] = out
         return out
 
-    def encode(self, raw: bytes, cuts: list[int]) -> bytes:
-        """The ids of a text with cut points ``cuts``, chunk joins repaired."""
-        out: list[bytes] = []
-        pending: list[bytes] = []
-        at = 0
-        for cut in [*cuts, len(raw)]:
-            if cut - at < CHUNK_MIN and cut != len(raw):
-                continue
-            found = self._chunk(raw[at:cut])
-            at_text, at = raw[at:cut], cut
-            if found is None:
-                pending.append(at_text)
-                continue
-            head, core, tail = found
+    def join(self, chunks: Iterable[tuple[bytes, bytes | None, bytes]]) -> bytes:
+        out, pending = [], []
+        for head, core, tail in chunks:
             pending.append(head)
-            out.append(self._join(b"".join(pending)))
-            out.append(core)
-            pending = [tail]
+            if core is not None:
+                out += (self._ids(b"".join(pending)), core)
+                pending = [tail]
         rest = b"".join(pending)
         if rest:
-            out.append(self._join(rest))
+            out.append(self._ids(rest))
         return b"".join(out)
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id") -> DataFrame:
+def chunks(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """``places``: _row, ``key``, n (from 0), h1, h2 of every chunk of every row; ``bodies``: h1, h2 and the bytes, once for each block of texts that holds it."""
+    special = tuple(s.encode() for s in tokens.byte_encoder(vocabulary).special)
+    kind = docs.schema[key].dataType.simpleString()
+
+    def spans(block: pa.RecordBatch) -> tuple:
+        data, off = text_bytes(block.column(text))
+        starts, ends, rows = chunk_spans(data, off, special)
+        h1 = span_hashes(data, starts, ends, fold=False)
+        return data, starts, ends, rows, h1.view(np.int64), mix(span_hashes(data ^ np.uint8(0x55), starts, ends, fold=False)).view(np.int64)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text):
+            _, _, _, rows, h1, h2 = spans(block)
+            row = np.repeat(np.arange(block.num_rows), np.diff(rows))
+            n = np.arange(row.size) - rows[row]
+            yield pa.RecordBatch.from_arrays([block.column("_row").take(pa.array(row)), block.column(key).take(pa.array(row)), pa.array(n.astype(np.int32)), pa.array(h1), pa.array(h2)], ["_row", key, "n", "h1", "h2"])
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text):
+            data, starts, ends, _, h1, h2 = spans(block)
+            _, first = np.unique(h1, return_index=True)
+            raw = data.tobytes()
+            body = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(h1[first]), pa.array(h2[first]), pa.array(body, pa.binary())], ["h1", "h2", "body"])
+
+    rows = docs.select(key, text, F.monotonically_increasing_id().alias("_row"))
+    return rows.mapInArrow(places, f"_row long, `{key}` {kind}, n int, h1 long, h2 long"), docs.select(text).mapInArrow(bodies, "h1 long, h2 long, body binary")
+
+
+def encode_chunks(bodies: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Each distinct chunk encoded once: h1, h2, head, core (ids, two bytes each where they fit), tail."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = tokens.byte_encoder(vocabulary)
+        for batch in batches:
+            done = [encode_chunk(x, coder) for x in batch.column("body").to_pylist()]
+            cols = [[h for h, _, _ in done], [None if c is None else coder.narrow(c) for _, c, _ in done], [t for _, _, t in done]]
+            yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), *(pa.array(c, pa.binary()) for c in cols)], ["h1", "h2", "head", "core", "tail"])
+
+    return bodies.dropDuplicates(["h1", "h2"]).mapInArrow(run, "h1 long, h2 long, head binary, core binary, tail binary")
+
+
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """One row per document: ``key`` and ``ids``, its token ids as little-endian unsigned 32-bit bytes."""
+    kind = docs.schema[key].dataType.simpleString()
+    scratch = scratch or Scratch(docs.sparkSession, "bpe")
+    places, bodies = chunks(docs, vocabulary, text, key)
+    coded = scratch.keep(encode_chunks(bodies, vocabulary), "chunks")
+    found = places.join(coded, ["h1", "h2"]).groupBy("_row", key).agg(F.sort_array(F.collect_list(F.struct("n", "head", "core", "tail"))).alias("chunks"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ChunkEncoder(tokens.byte_encoder(vocabulary))
-        for block in blocks(batches, text):
-            data, off = text_bytes(block.column(text))
-            cuts = cut_points(data)
-            lo, hi = np.searchsorted(cuts, off[:-1], "right"), np.searchsorted(cuts, off[1:], "left")
-            raw, at = data.tobytes(), off.tolist()
-            ids = [coder.encode(raw[at[i] : at[i + 1]], (cuts[lo[i] : hi[i]] - at[i]).tolist()) for i in range(block.num_rows)]
-            yield pa.RecordBatch.from_arrays([block.column(key), pa.array(ids, pa.binary())], [key, "ids"])
-
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids binary")
+        joiner = Joiner(tokens.byte_encoder(vocabulary))
+        wide = joiner.encoder.widen
+        for batch in batches:
+            step = max(1, (1 << 20) * batch.num_rows // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                lists = part.column("chunks")
+                offsets, flat = lists.offsets.to_pylist(), lists.values
+                heads, cores, tails = (flat.field(c).slice(offsets[0], offsets[-1] - offsets[0]).to_pylist() for c in ("head", "core", "tail"))
+                triples = [(h, None if c is None else wide(c), t) for h, c, t in zip(heads, cores, tails, strict=True)]
+                ids = [joiner.join(triples[a - offsets[0] : b - offsets[0]]) for a, b in itertools.pairwise(offsets)]
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(ids, pa.binary())], [key, "ids"])
+
+    return found.select(key, "chunks").mapInArrow(run, f"`{key}` {kind}, ids binary")
+
+
+def reuse(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id") -> tuple[int, int]:
+    """How many chunks the texts of ``docs`` have, and how many distinct ones are encoded."""
+    places, _ = chunks(docs, vocabulary, text, key)
+    got = places.agg(F.count(F.lit(1)).alias("all"), F.count_distinct("h1", "h2").alias("distinct")).first()
+    return got["all"], got["distinct"]
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, key: str = "doc_id") -> DataFrame:

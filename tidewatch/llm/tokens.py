@@ -90,6 +90,17 @@ class ByteEncoder(_Encoder):
             return self.by_library(text)
         return pack_ids(self._fast.encode_ordinary(text))
 
+    @property
+    def _narrow(self) -> bool:
+        return self._lens.size <= 1 << 16
+
+    def narrow(self, ids: bytes) -> bytes:
+        """Ids in two bytes each, if the vocabulary allows it."""
+        return np.frombuffer(ids, "<u4").astype("<u2").tobytes() if self._narrow else ids
+
+    def widen(self, ids: bytes) -> bytes:
+        return np.frombuffer(ids, "<u2").astype("<u4").tobytes() if self._narrow else ids
+
     def decode(self, ids: bytes) -> str:
         """As ``decode(ids, skip_special_tokens=False)``; ids outside the vocabulary add nothing."""
         x = np.frombuffer(ids, "<u4").astype(np.int64)
