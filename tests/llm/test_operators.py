@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
@@ -421,13 +422,36 @@ def test_top_k(spark, monkeypatch, rows):
     want |= {(650, 1, 700, 3 * 256 * 512), (700, 1, 650, 3 * 256 * 512)}
     assert {tuple(r) for r in mtree.top_k(vectors, vectors.where("vec_id % 50 = 0")).collect()} == want
     assert mtree.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
+    more = vectors.withColumns({"rank": F.lit("x"), "Score": F.lit("y"), "size": F.lit(1), "tree": F.lit(2)})
+    assert {tuple(r) for r in mtree.top_k(more, more.where("vec_id % 50 = 0")).collect()} == want
 
 
-def test_bounds_avoid_products():
+@pytest.mark.parametrize("rows", [16_384, 2])
+def test_other_rows_of_a_querys_id_count(spark, monkeypatch, rows):
+    monkeypatch.setattr(mtree, "TREE_ROWS", rows)
+    data = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.5, 0.5]), (1, [0.9, 0.1]), (2, [-1.0, 0.0]), (50, [1.0, 0.0])]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    q = [[int(np.floor(256 * x)) for x in np.array(v, np.float32).astype(float)] for _, v in data]
+    want = []
+    for i, (own, _) in enumerate(data):
+        if own % 50 == 0:
+            order = sorted((-(q[i][0] * q[j][0] + q[i][1] * q[j][1]), data[j][0]) for j in range(len(data)) if j != i)[:5]
+            want += [(own, r, j, -s) for r, (s, j) in enumerate(order, 1)]
+    assert sorted(tuple(r) for r in mtree.top_k(vectors, vectors.where("vec_id % 50 = 0")).collect()) == sorted(want)
+
+
+def test_bounds_avoid_products(spark, monkeypatch):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(c, 1, (500, 6)) for c in rng.normal(0, 60, (16, 6))]).round().astype(np.int64)
     tree = mtree.MTree(np.arange(len(x)), x)
-    assert np.mean([tree.search(-1, x[i], 5)[1] for i in range(0, len(x), 97)]) < 0.5 * len(x)
+    assert np.mean([tree.search(x[i], 5)[1] for i in range(0, len(x), 97)]) < 0.5 * len(x)
+    # whole trees are left out by their root where a first tree gives a score to beat
+    monkeypatch.setattr(mtree, "TREE_ROWS", 500)
+    monkeypatch.setattr(mtree, "BLOCK_QUERIES", 10)
+    vectors = spark.createDataFrame([(i, (v / 256).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").coalesce(1)
+    products = []
+    got = mtree.top_k(vectors, vectors.where("vec_id % 50 = 0"), products=products).where("vec_id % 50 = 0").count()
+    assert got >= 0 and products[0] < 0.6 * len(x) * (len(x) // 50)
 
 
 # 10

@@ -10,12 +10,21 @@ distance (triangle inequality, first over the stored parent distance, which cost
 nothing, then over its own pivot) cannot reach the k-th best is never opened;
 bounds are rounded outwards and products are computed exactly, so ties survive.
 
-Queries travel in blocks of bounded size to every tree; each pair of a block and
-a tree gives at most k rows per query, which a ranked window merges.
+Queries travel in blocks of bounded size.  Each block first goes to one tree only,
+which gives every query a k-th score to beat; then to the trees whose root bound
+some query of it can still reach.  A task holds one tree, which is sent once, and
+the blocks stream past it.  Each meeting gives at most k + 1 rows per query, which
+a ranked window merges.
+
+How much the bounds avoid depends on the vectors: on well-separated groups most
+products, on directions without structure in many dimensions next to none, as all
+distances are alike; the result is exact either way.
 
 Edge cases: vectors that are null or hold null or non-finite components take no
 part, nor do rows with a null id; only vectors of the query's dimension are
-compared; rows that share the query's id are its own; an empty table gives none.
+compared; a query leaves out its own row once, so other rows of its id count;
+ties go to the smaller id, equal rows stay apart; an empty table gives none;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +41,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm.scratch import Scratch
 
 TREE_ROWS, PAGE_ROWS, FANOUT, BLOCK_QUERIES = 16_384, 128, 16, 512
+#: Trees in a list that a block of queries is joined with at once.
+TREE_LIST = 64
 
 
 class MTree:
@@ -88,8 +99,12 @@ class MTree:
         self.radii, self.parents = np.array(self.radius), np.array(self.to_parent)
         del self.pivot, self.radius, self.to_parent, self._fill
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[list[tuple[int, int]], int]:
-        """The k largest (score, id) with ties to smaller ids, and how many products were computed."""
+    def root(self) -> tuple[np.ndarray, float, float]:
+        """The root's pivot, its covering radius and the largest norm (squared)."""
+        return self.pivots[0], float(self.radii[0]), self.top
+
+    def search(self, query: np.ndarray, k: int, beat: int | None = None) -> tuple[list[tuple[int, int]], int]:
+        """The k largest (score, id), of scores not under ``beat``, with ties to smaller ids, and how many products were computed."""
         if not len(self.ids):
             return [], 0
         q = np.append(query.astype(np.float64), 0.0)
@@ -97,7 +112,7 @@ class MTree:
         slack = 1e-7 * (1.0 + np.sqrt(own) + np.sqrt(self.top))
         best: list[tuple[int, int]] = []  # a heap of (score, -id)
         worst = -np.inf  # distance beyond which nothing enters is derived from it
-        reach = np.inf
+        reach = np.inf if beat is None else float(np.sqrt(max(0.0, own + self.top - 2.0 * beat)))
         computed = 0
         root = float(np.sqrt(((q - self.pivots[0]) ** 2).sum()))
         heap = [(max(0.0, root - self.radii[0]), 0, root)]
@@ -120,7 +135,6 @@ class MTree:
                 continue
             a, b = self.rows[node]
             near = np.flatnonzero(np.abs(gap - self.leaf_gap[a:b]) - slack <= reach) + a
-            near = near[self.ids[near] != query_id]
             if not near.size:
                 continue
             computed += near.size
@@ -139,7 +153,7 @@ class MTree:
                     heapq.heapreplace(best, item)
             if len(best) == k:
                 worst = best[0][0]
-                reach = float(np.sqrt(max(0.0, own + self.top - 2.0 * worst)))
+                reach = min(reach, float(np.sqrt(max(0.0, own + self.top - 2.0 * worst))))
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1])), computed
 
 
@@ -162,15 +176,15 @@ def quantise(batch: pa.RecordBatch, key: str, column: str, scale: int) -> Iterat
         yield np.array(own, np.int64), np.floor(scale * np.array(rows)).astype(np.int64)
 
 
-def _packed(frame: DataFrame, key: str, column: str, scale: int, rows: int, make) -> DataFrame:
-    """Rows of ``frame`` packed by dimension, ``make(ids, vectors)`` pickled for every ``rows`` of them."""
+def _packed(frame: DataFrame, key: str, column: str, scale: int, rows: int, make, schema: str) -> DataFrame:
+    """Rows of ``frame`` packed by dimension: size, and what ``make(ids, vectors)`` says of every ``rows`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
         def pack(size: int) -> pa.RecordBatch:
             ids, vectors = (np.concatenate(x) for x in zip(*held.pop(size), strict=True))
-            return pa.RecordBatch.from_pydict({"size": pa.array([size], pa.int64()), "body": pa.array([pickle.dumps(make(ids, vectors))], pa.binary())})
+            return pa.RecordBatch.from_pylist([{"size": size, **make(ids, vectors)}], wanted)
 
         for batch in batches:
             for ids, vectors in quantise(batch, key, column, scale):
@@ -182,31 +196,95 @@ def _packed(frame: DataFrame, key: str, column: str, scale: int, rows: int, make
         for size in list(held):
             yield pack(size)
 
-    return frame.select(key, column).mapInArrow(run, "size long, body binary")
+    kinds = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
+    wanted = pa.schema([("size", pa.int64()), *((c.split()[0], kinds[c.split()[1]]) for c in schema.split(", "))])
+    return frame.select(key, column).mapInArrow(run, "size long, " + schema)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, key: str = "vec_id", column: str = "embedding", scratch: Scratch | None = None) -> DataFrame:
-    """Per query: query_id, rank (from 1), vec_id, score, for the ``k`` largest integer inner products."""
-    spark = vectors.sparkSession
-    scratch = scratch or Scratch(spark, "mtree")
-    numbered = lambda f: f.withColumn("number", F.monotonically_increasing_id())
-    trees = scratch.keep(numbered(_packed(vectors, key, column, scale, TREE_ROWS, MTree)), "trees")
-    blocks = scratch.keep(numbered(_packed(queries, key, column, scale, BLOCK_QUERIES, lambda ids, v: (ids, v))), "blocks")
-    # every block meets every tree of its dimension: the keys are those of packed rows, not of vectors
-    keys = trees.select("size", F.col("number").alias("tree"))
-    sent = blocks.select("size", F.col("number").alias("block"), F.col("body").alias("queries")).join(keys, "size")
-    met = sent.join(trees.select(F.col("number").alias("tree"), F.col("body").alias("index")), "tree").select("block", "queries", "index")
+def _tree_row(ids: np.ndarray, vectors: np.ndarray) -> dict:
+    tree = MTree(ids, vectors)
+    pivot, radius, top = tree.root()
+    return {"pivot": pivot.tolist(), "radius": radius, "top": top, "body": pickle.dumps(tree)}
+
+
+def _met(pairs: DataFrame, trees: DataFrame, blocks: DataFrame, k: int, partitions: int) -> DataFrame:
+    """Per pair of a block and a tree and query n of the block: query_id, own (its product with itself), vec_id, score, and the products computed (once a block)."""
+    index = trees.select("tree", F.lit(-1).cast("long").alias("block"), "body", F.lit(None).cast("binary").alias("beat"))
+    sent = pairs.join(blocks.select("block", "body"), "block").select("tree", "block", "body", "beat")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, current = None, None
         for batch in batches:
-            for block, sent, index in zip(batch.column("block").to_pylist(), batch.column("queries"), batch.column("index"), strict=True):
-                ids, rows = pickle.loads(sent.as_py())
-                tree = pickle.loads(index.as_py())
-                out = [(block, n, int(q), i, s) for n, (q, x) in enumerate(zip(ids, rows, strict=True)) for s, i in tree.search(int(q), x, k)[0]]
-                if out:
-                    cols = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["block", "n", "query_id", "vec_id", "score"])
-
-    found = met.mapInArrow(run, "block long, n long, query_id long, vec_id long, score long")
+            for number, block, body, beat in zip(batch.column("tree").to_pylist(), batch.column("block").to_pylist(), batch.column("body"), batch.column("beat").to_pylist(), strict=True):
+                if number != current:  # the tree stands before its blocks
+                    tree, current = pickle.loads(body.as_py()), number
+                    continue
+                ids, rows = pickle.loads(body.as_py())
+                least = [None if x < 0 else x + _LOWEST for x in (np.frombuffer(beat, np.int64) if beat is not None else np.full(len(ids), -1)).tolist()]
+                out, products = [], 0
+                for n, (q, x, b) in enumerate(zip(ids.tolist(), rows, least, strict=True)):
+                    found, computed = tree.search(x, k, b)
+                    products += computed
+                    own = int((x**2).sum())
+                    out += [(block, n, q, own, i, s, 0) for s, i in found]
+                out.append((block, -1, 0, 0, 0, 0, products))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["block", "n", "query_id", "own", "vec_id", "score", "products"])
+
+    dealt = index.unionAll(sent).repartition(partitions, "tree").sortWithinPartitions("tree", "block")
+    return dealt.mapInArrow(run, "block long, n long, query_id long, own long, vec_id long, score long, products long")
+
+
+#: Scores to beat travel from here upwards, so that a missing one is -1.
+_LOWEST = -(1 << 61)
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, key: str = "vec_id", column: str = "embedding", scratch: Scratch | None = None, products: list | None = None) -> DataFrame:
+    """Per query: query_id, rank (from 1), vec_id, score, for the ``k`` largest integer inner products.
+
+    ``queries`` are rows of ``vectors``; each leaves out its own row.  ``products``, if given, gets the number of products computed.
+    """
+    spark = vectors.sparkSession
+    scratch = scratch or Scratch(spark, "mtree")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    trees = _packed(vectors, key, column, scale, TREE_ROWS, _tree_row, "pivot array<double>, radius double, top double, body binary")
+    trees = scratch.keep(trees.withColumn("tree", F.monotonically_increasing_id()), "trees")
+    blocks = _packed(queries, key, column, scale, BLOCK_QUERIES, lambda ids, v: {"body": pickle.dumps((ids, v))}, "body binary")
+    blocks = scratch.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    # trees are dealt into lists of at most LIST trees, so a block is joined with lists of trees by many keys
+    numbered = trees.select("size", "tree", "pivot", "radius", "top", F.pmod(F.xxhash64("tree"), F.lit(max(1, -(-trees.count() // TREE_LIST)))).alias("list"))
+    lists = numbered.groupBy("size", "list").agg(F.min("tree").alias("first"))
+    sent = blocks.select("size", "block", "body").join(lists, "size")
+    first = sent.groupBy("block").agg(F.min_by("first", F.xxhash64("first", "block")).alias("tree"))
+    seed = scratch.keep(_met(first.withColumn("beat", F.lit(None).cast("binary")), trees, blocks, k + 1, partitions), "seed")
     order = Window.partitionBy("block", "n").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    ranked = seed.where("n >= 0").withColumn("at", F.row_number().over(order))
+    # with the query's own row among k + 1, the last of them is one that the k-th of the others must reach
+    beat = ranked.where(F.col("at") == k + 1).groupBy("block").agg(F.collect_list(F.struct("n", "score")).alias("beat"))
+    reached = sent.join(first.withColumnRenamed("tree", "seeded"), "block").join(beat, "block", "left").join(numbered, ["size", "list"]).where("tree <> seeded")
+    reached = reached.select("block", "tree", "body", "beat", "pivot", "radius", "top")
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, rows = pickle.loads(row["body"])
+                least = np.full(len(ids), -1, np.int64)
+                for x in row["beat"] or ():
+                    least[x["n"]] = x["score"] - _LOWEST
+                own = (rows.astype(np.float64) ** 2).sum(axis=1)
+                pivot = np.array(row["pivot"])
+                gap = np.sqrt(((rows - pivot[:-1]) ** 2).sum(axis=1) + pivot[-1] ** 2)
+                reach = np.where(least < 0, np.inf, np.sqrt(np.maximum(0.0, own + row["top"] - 2.0 * (least + _LOWEST).astype(np.float64))))
+                if (gap - row["radius"] <= reach + 1e-7 * (1.0 + np.sqrt(own) + np.sqrt(row["top"]))).any():
+                    yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["tree"]], pa.int64()), pa.array([least.tobytes()], pa.binary())], ["block", "tree", "beat"])
+
+    pairs = reached.mapInArrow(prune, "block long, tree long, beat binary")
+    found = scratch.keep(_met(pairs, trees, blocks, k + 1, partitions), "found").unionAll(seed)
+    if products is not None:
+        products.append(found.agg(F.sum("products")).first()[0] or 0)
+    # the query's own row goes once: among rows alike in id and score any one is it
+    ranked = found.where("n >= 0").withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1)
+    is_own = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own"))
+    ranked = ranked.withColumn("mine", F.min(F.when(is_own, F.col("at"))).over(Window.partitionBy("block", "n")))
+    rank = F.col("at") - F.when(F.col("at") > F.col("mine"), 1).otherwise(0)
+    out = ranked.where(F.col("mine").isNull() | (F.col("at") != F.col("mine"))).withColumn("rank", rank.cast("int"))
+    return out.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
