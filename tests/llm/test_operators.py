@@ -68,6 +68,19 @@ def test_licenses(spark, awkward, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_one_bigram_again_and_again_is_no_license(spark):
+    mit = dict(licenses.TEMPLATES)["mit"].split()
+    rows = [
+        (1, "the license " * 60), (2, "in the software " * 200), (3, " ".join(mit[:12] + ["new"] + mit[12:20] + mit[22:])), (4, " ".join(mit[: len(mit) // 2])),
+        (5, " ".join([*mit, *words_of(random.Random(1), 40), *mit])), (6, " ".join(x for w in mit for x in (w, "filler"))), (7, " ".join(mit[:9] + ["gap"] * 40 + mit[9:18] + ["gap"] * 40 + mit[18:])),
+    ]
+    docs = table(spark, rows)
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert {i: r.labels for i, r in got.items()} == {1: "", 2: "", 3: "mit", 4: "", 5: "mit", 6: "", 7: ""}
+    assert 0.8 < got[3].score < 1.0 and got[5].score == 1.0
+    assert sorted((r.doc_id, r.start) for r in licenses.spans(docs).where("template is not null").collect()) == [(3, 0), (5, 0), (5, len(mit) + 40)]
+
+
 # 2
 def brute_quality(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")

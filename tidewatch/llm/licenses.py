@@ -2,11 +2,13 @@
 
 Every rolling word bigram of every text is hashed and joined with the positions
 of the same bigram in a fixed set of templates.  A match at word ``p`` of the
-text and ``t`` of the template votes for the diagonal ``p - t``, where the
-template would begin.  Votes are summed by diagonal, neighbouring diagonals
-(words added or left out) are merged, and a span stands if enough of the
-template's bigrams voted within it.  A short phrase must have all its bigrams on
-one diagonal, which is the phrase word by word.
+text and ``t`` of the template, whose words agree as well, votes for the diagonal
+``p - t``, where the template would begin.  Votes are gathered by diagonal as a
+set of template positions.  Diagonals up to ``DRIFT`` words on (words added or
+left out) are merged, and a span is verified by the share of *different* template
+positions that voted within it, so one bigram said again and again is one vote.
+Of overlapping spans the best stands, the first on ties.  A short phrase must have
+all its bigrams on one diagonal, which is the phrase word by word.
 
 The text is read once.  A sentinel bigram per row, which joins one dummy
 template position, carries the row's word count through the same plan, so rows
@@ -43,8 +45,8 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
-#: Templates of at most so many words must match in full, longer ones to this share, within diagonals that differ by so much.
-SHORT_WORDS, LEAST_SHARE, NEAR = 8, 0.6, 3
+#: Templates of at most so many words must match in full, longer ones to this share, within diagonals that differ by at most so much.
+SHORT_WORDS, LEAST_SHARE, DRIFT = 8, 0.6, 6
 
 
 def template_bigrams(spark: SparkSession) -> DataFrame:
@@ -55,7 +57,7 @@ def template_bigrams(spark: SparkSession) -> DataFrame:
         rows += [(n, label, base, len(w), t, w[t], w[t + 1]) for t in range(len(w) - 1)]
     frame = spark.createDataFrame(rows, "template int, label string, base boolean, size int, t int, w1 string, w2 string")
     sentinel = spark.createDataFrame([(-1, "", False, 0, 0, "", "")], frame.schema)
-    return frame.union(sentinel).select("template", "label", "base", "size", "t", F.xxhash64("w1", "w2").alias("gram"))
+    return frame.union(sentinel).select("template", "label", "base", "size", "t", F.col("w1").alias("t1"), F.col("w2").alias("t2"), F.xxhash64("w1", "w2").alias("gram"))
 
 
 def spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -73,26 +75,27 @@ def spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
         rows.withColumn("_next", following)
         .select(key, "_row", F.size("_words").alias("_n"), pairs.alias("_pairs"))
         .select(key, "_row", "_n", F.posexplode("_pairs").alias("_p", "_pair"))
-        .select(key, "_row", "_n", "_p", F.xxhash64("_pair._words", "_pair._next").alias("gram"))
+        .select(key, "_row", "_n", "_p", F.col("_pair._words").alias("_w1"), F.col("_pair._next").alias("_w2"))
+        .withColumn("gram", F.xxhash64("_w1", "_w2"))
     )
-    votes = grams.join(F.broadcast(template_bigrams(docs.sparkSession)), "gram")
+    votes = grams.join(F.broadcast(template_bigrams(docs.sparkSession)), "gram").where((F.col("_w1") == F.col("t1")) & (F.col("_w2") == F.col("t2")))
     diagonal = F.when(F.col("template") < 0, F.col("_n")).otherwise(F.col("_p") - F.col("t"))
-    # Summed by diagonal and, as a text may repeat a bigram, by template position within the merge.
-    by_diagonal = votes.groupBy("_row", key, "template", "label", "base", "size", diagonal.alias("diagonal")).agg(F.count(F.lit(1)).alias("votes"))
-    order = Window.partitionBy("_row", "template").orderBy("diagonal")
-    within = Window.partitionBy("_row", "template", "_span")
+    # template positions as bits: templates have fewer than 64 words
+    by_diagonal = votes.groupBy("_row", key, "template", "label", "base", "size", diagonal.alias("start")).agg(F.bit_or(F.expr("shiftleft(1L, t)")).alias("_bits"))
+    own = Window.partitionBy("_row", "template").orderBy("start")
+    reach = F.when(F.col("size") <= SHORT_WORDS, F.bit_count("_bits")).otherwise(F.bit_count(F.bit_or("_bits").over(own.rangeBetween(0, DRIFT))))
+    share = F.col("_found") / F.greatest(F.col("size") - 1, F.lit(1)).cast("double")
     apart = F.col("size") <= SHORT_WORDS
-    gap = F.col("diagonal") - F.lag("diagonal").over(order)
-    merged = (
-        by_diagonal.withColumn("_new", F.when(gap.isNull() | apart | (gap > NEAR), 1).otherwise(0))
-        .withColumn("_span", F.sum("_new").over(order))
-        .withColumn("_best", F.max("votes").over(within))
-        .groupBy("_row", key, "template", "label", "base", "size", "_span")
-        .agg(F.sum("votes").alias("votes"), F.min(F.when(F.col("votes") == F.col("_best"), F.col("diagonal"))).alias("start"))
-    )
-    share = F.least(F.lit(1.0), F.col("votes") / (F.col("size") - 1).cast("double"))
-    verified = (F.col("template") < 0) | (apart & (F.col("votes") == F.col("size") - 1)) | (~apart & (share >= LEAST_SHARE))
-    return merged.where(verified).select("_row", key, F.when(F.col("template") < 0, F.col("start")).cast("long").alias("n_words"), F.when(F.col("template") >= 0, F.col("template")).alias("template"), "label", "base", F.col("start").cast("long").alias("start"), F.when(F.col("template") >= 0, share).alias("share"))
+    enough = (F.col("template") < 0) | (apart & (F.col("_found") == F.col("size") - 1)) | (~apart & (share >= LEAST_SHARE))
+    # the span begins where its fullest diagonal does
+    fullest = F.max(F.struct(F.bit_count("_bits").alias("n"), (-F.col("start")).alias("at"))).over(own.rangeBetween(0, DRIFT))
+    stands = by_diagonal.withColumns({"_found": reach, "_fullest": fullest}).where(enough).withColumn("share", share)
+    # of spans that overlap the best one stands, the first on ties
+    better = F.max("share").over(own.rangeBetween(-DRIFT, DRIFT))
+    before = F.max("share").over(own.rangeBetween(-DRIFT, -1))
+    merged = stands.withColumns({"_better": better, "_before": before})
+    verified = (F.col("template") < 0) | apart | ((F.col("share") == F.col("_better")) & (F.col("_before").isNull() | (F.col("_before") < F.col("share"))))
+    return merged.where(verified).select("_row", key, F.when(F.col("template") < 0, F.col("start")).cast("long").alias("n_words"), F.when(F.col("template") >= 0, F.col("template")).alias("template"), "label", "base", F.when(apart, F.col("start")).otherwise(-F.col("_fullest.at")).cast("long").alias("start"), F.when(F.col("template") >= 0, F.col("share")).alias("share"))
 
 
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

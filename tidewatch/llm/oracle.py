@@ -6,23 +6,22 @@ from tidewatch.llm import licenses
 
 
 def license_scan() -> str:
-    """Diagonal voting as :mod:`tidewatch.llm.licenses` does it."""
-    templates = [(n, label, True, p.split()) for n, (p, label) in enumerate(licenses.BASE)]
-    templates += [(n, label, False, w.split()) for n, (label, w) in enumerate(licenses.TEMPLATES, len(templates))]
-    rows = ", ".join(f"({n}, '{label}', {base}, {len(w)}, {t}, '{w[t]} {w[t + 1]}')" for n, label, base, w in templates for t in range(len(w) - 1))
+    """Written from what is to hold: phrases word by word at each position; a template where enough different word pairs of it begin within a few words of their place."""
     letters = "abcdefghijklmnopqrstuvwxyz"
-    return f"""WITH t(template, label, base, size, t, gram) AS (VALUES {rows}),
-d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
-g AS (SELECT r, unnest(range(1, len(w))) AS p, w FROM d),
-v AS (SELECT r, template, label, base, size, p - 1 - t AS diagonal, count(*) AS votes FROM (SELECT r, p, w[p] || ' ' || w[p + 1] AS gram FROM g) JOIN t USING (gram) GROUP BY ALL),
-n AS (SELECT *, CASE WHEN size <= {licenses.SHORT_WORDS} OR coalesce(diagonal - lag(diagonal) OVER o > {licenses.NEAR}, TRUE) THEN 1 ELSE 0 END AS fresh FROM v WINDOW o AS (PARTITION BY r, template ORDER BY diagonal)),
-s AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM n),
-b AS (SELECT *, max(votes) OVER (PARTITION BY r, template, span) AS best FROM s),
-m AS (SELECT r, template, label, base, size, span, sum(votes) AS votes, min(diagonal) FILTER (WHERE votes = best) AS start FROM b GROUP BY ALL),
-k AS (SELECT *, least(1.0::DOUBLE, votes::DOUBLE / (size - 1)) AS share FROM m WHERE CASE WHEN size <= {licenses.SHORT_WORDS} THEN votes = size - 1 ELSE votes::DOUBLE / (size - 1) >= {licenses.LEAST_SHARE}::DOUBLE END),
-a AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
-  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM k GROUP BY r)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score FROM d LEFT JOIN a USING (r)"""
+    short = [(label, p.split(), base) for label, p, base in [(label, p, True) for p, label in licenses.BASE] + [(label, w, False) for label, w in licenses.TEMPLATES] if len(p.split()) <= licenses.SHORT_WORDS]
+    long = [(n, label, w.split()) for n, (label, w) in enumerate(licenses.TEMPLATES) if len(w.split()) > licenses.SHORT_WORDS]
+    at = " UNION ALL ".join(f"SELECT r, p - 1 AS p, '{label}' AS label, {base} AS base FROM g WHERE " + " AND ".join(f"w[p + {k}] = '{x}'" for k, x in enumerate(words)) for label, words, base in short)
+    pairs = ", ".join(f"({n}, '{label}', {len(w) - 1}, {t}, '{w[t]}', '{w[t + 1]}')" for n, label, w in long for t in range(len(w) - 1))
+    return f"""WITH t(template, label, pairs, t, a, b) AS (VALUES {pairs}),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+g AS MATERIALIZED (SELECT r, unnest(range(1, len(w))) AS p, w FROM d),
+h AS ({at}),
+v AS MATERIALIZED (SELECT r, template, label, pairs, t, p - 1 - t AS place FROM g JOIN t ON w[p] = a AND w[p + 1] = b),
+f AS (SELECT x.r, x.label, count(DISTINCT y.t)::DOUBLE / x.pairs AS share FROM (SELECT DISTINCT r, template, label, pairs, place FROM v) x JOIN v y ON x.r = y.r AND x.template = y.template AND y.place BETWEEN x.place AND x.place + {licenses.DRIFT} GROUP BY x.r, x.template, x.label, x.pairs, x.place),
+m AS (SELECT r, label, 1.0::DOUBLE AS share FROM h UNION ALL SELECT r, label, share FROM f WHERE share >= {licenses.LEAST_SHARE}::DOUBLE),
+b AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM h WHERE base GROUP BY r),
+a AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM m GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score FROM d LEFT JOIN b USING (r) LEFT JOIN a USING (r)"""
 
 
 TOP_K = """WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
