@@ -231,6 +231,54 @@ def test_chat_texts_are_carried_whole(spark):
     assert len(labelled) == 300 and all(x is not None for x in labelled)
 
 
+def best_of_all_paths(model, seen):
+    e = chat.emissions(model, seen)
+    score = lambda p: model.start[p[0]] + sum(e[i, k] for i, k in enumerate(p)) + sum(model.transition[i, j] for i, j in itertools.pairwise(p))
+    return max(map(score, itertools.product(range(chat.STATES), repeat=len(seen)))), score
+
+
+def long_conversation(n, style_of=0):
+    rng, rows = random.Random(24), []
+    for t in range(n):
+        role = "assistant" if t % 2 else "user"
+        rows.append((style_of, t, role, "\n".join(" ".join(words_of(rng, rng.randrange(6, 40 if role == "assistant" else 12))) + "." for _ in range(rng.randrange(1, 4 if role == "assistant" else 2)))))
+    return rows
+
+
+def test_chat_paths_against_all_paths(spark):
+    rows = [(c, t, r, x) for c in range(40) for _, t, r, x in long_conversation(4, c)]
+    written = chat.write_down(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    model = chat.train(written)
+    for r in written.limit(12).collect():
+        _, seen = chat.observe(r.transcript)
+        seen = seen[:6]
+        got = chat.decode(model, seen, np.array([0, len(seen)]))
+        best, score = best_of_all_paths(model, seen)
+        assert score(tuple(got)) == pytest.approx(best)
+
+
+def test_long_conversations_are_decoded_as_a_whole(spark, monkeypatch):
+    rows = [x for c in range(8) for x in long_conversation(2000 if c == 3 else 60, c)] + [(None, t, r, x) for _, t, r, x in long_conversation(90)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(chat, "PART_TURNS", 64)
+    parts = {}
+    for r in chat.chats(turns).collect():
+        parts.setdefault(r.conv_id, {})[r.part] = r
+    monkeypatch.setattr(chat, "PART_TURNS", 10**6)
+    whole = {r.conv_id: r for r in chat.chats(turns).collect()}
+    assert len(parts[3]) == 32 and len(parts[None]) == 2 and whole.keys() == parts.keys()
+    for c, own in parts.items():
+        assert "".join(own[p].chat for p in sorted(own)) == whole[c].chat and sum(r.n_turns for r in own.values()) == whole[c].n_turns
+    assert sum(w.n_turns for w in whole.values()) == len(rows)
+
+
+def test_chat_extra_columns_and_empty_turns(spark):
+    rows = [(c, t, r, "" if c == 2 and t == 1 else x) for c in range(30) for _, t, r, x in long_conversation(6, c)]
+    turns = spark.createDataFrame([(*x, "q", "p", 7) for x in rows], "conv_id long, turn long, role string, text string, chat string, roles string, part int")
+    out = {r.conv_id: r for r in chat.chats(turns).collect()}
+    assert len(out) == 30 and out[2].n_turns == 6 and set(out[2].asDict()) == {"conv_id", "part", "n_turns", "roles", "chat"}
+
+
 # 5
 def brute_groups(rows, k, percent):
     sets = {}

@@ -73,8 +73,11 @@ def viterbi(model: Model, features: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return best_path(features @ model.weights, model.transition, model.start, offsets)
 
 
-def best_path(e: np.ndarray, transition: np.ndarray, start: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The highest-scoring labels for emission scores ``e`` (rows by labels), smaller labels first on ties."""
+def best_path(e: np.ndarray, transition: np.ndarray, start: np.ndarray, offsets: np.ndarray, last: np.ndarray | None = None) -> np.ndarray:
+    """The highest-scoring labels for emission scores ``e`` (rows by labels), smaller labels first on ties.
+
+    ``start`` holds for all sequences or has a row for each; ``last`` has the label that each must end in, or -1.
+    """
     out = np.zeros(len(e), np.int64)
     size = np.diff(offsets)
     order = np.argsort(-size, kind="stable")
@@ -83,7 +86,7 @@ def best_path(e: np.ndarray, transition: np.ndarray, start: np.ndarray, offsets:
         return out
     first, size = offsets[:-1][order], size[order]
     longest = int(size[0])
-    score = e[first] + start
+    score = e[first] + (start[order] if start.ndim == 2 else start)
     back = np.zeros(e.shape, np.int8)
     active = np.searchsorted(-size, -np.arange(longest), "left")  # sequences longer than t
     for t in range(1, longest):
@@ -94,6 +97,8 @@ def best_path(e: np.ndarray, transition: np.ndarray, start: np.ndarray, offsets:
         back[rows] = best
         score[:k] = np.take_along_axis(through, best[:, None, :], axis=1)[:, 0] + e[rows]
     label = score.argmax(axis=1)
+    if last is not None:
+        label = np.where(last[order] >= 0, last[order], label)
     for t in range(longest - 1, -1, -1):
         k = int(active[t])
         rows = first[:k] + t
