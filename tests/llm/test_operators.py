@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -185,6 +186,55 @@ def test_spelt_out_runs_and_long_words(spark):
     toxicity.SETTLE = before
 
 
+def every_reading(decoder, word):
+    """All paths of the lattice of ``word`` without word ends: what they restore, and the least cost of each."""
+    thrice = [any(word[k] == word[k + 1] == word[k + 2] for k in range(max(0, i - 2), min(i, len(word) - 3) + 1)) for i in range(len(word))]
+    paths = {("", ""): 0.0}
+
+    def spelt(text):
+        classes = [0, 0, *(k for c in text for k in toxicity.char_class(c))]
+        return sum(float(decoder.cost[x]) for x in zip(classes, classes[1:], classes[2:], strict=False))
+
+    for c, run in zip(word, thrice, strict=True):
+        options = ([(c, 0.0)] if c.isalpha() else []) + [(x, toxicity.COST_LEET) for x in toxicity.LEET.get(c, "")]
+        after = {}
+        for (text, last), cost in paths.items():
+            again = run and last in [x for x, _ in options]
+            moves = [(text + x, x, cost + y) for x, y in options]
+            if again:
+                moves.append((text, last, cost + toxicity.COST_REPEAT))
+            elif not c.isalpha():
+                moves.append((text, last, cost + (toxicity.COST_SKIP_MARK if c in toxicity.SKIP_MARKS else toxicity.COST_DROP)))
+            for made, own, total in moves:
+                after[made, own] = min(total, after.get((made, own), np.inf))
+        paths = after
+    best = {}
+    for (text, _), cost in paths.items():
+        best[text] = min(cost + spelt(text), best.get(text, np.inf))
+    return best
+
+
+def test_restored_words_against_all_paths():
+    rng = random.Random(13)
+    text = " ".join(rng.choice(["idiot", "stupid", "silly", "slot", "moron", "good", "goal", "still", "tall"]) for _ in range(3000)).encode()
+    data = toxicity._CLASS[np.frombuffer(text, np.uint8)]
+    counts = np.bincount((data[:-2] * toxicity.CLASSES + data[1:-1]) * toxicity.CLASSES + data[2:], minlength=toxicity.CLASSES**3)
+    decoder = toxicity.Deobfuscator(counts)
+    for _ in range(150):
+        word = "".join(rng.choice("idotsl01345$!.-aaa") for _ in range(rng.randrange(1, 8)))
+        best = every_reading(decoder, word)
+        assert best[decoder.restore(word.encode()).decode()] == pytest.approx(min(best.values()), abs=1e-3)
+
+
+def test_many_rows_of_single_letters_take_linear_time():
+    text = "a b c d"
+    data, off = np.frombuffer((text * 100_000).encode(), np.uint8), np.arange(100_001) * len(text)
+    decoder = toxicity.Deobfuscator(np.ones(toxicity.CLASSES**3, np.int64))
+    began = time.process_time()
+    toxicity.restored_words(data, off, decoder)
+    assert time.process_time() - began < 2
+
+
 def test_labels_of_held_out_rows_are_not_learnt(spark):
     rows = [(i, f"word{i % 7} other{i % 11} thing") for i in range(200)]
     a = [(i, i % 3 == 0) for i in range(200)]
@@ -400,6 +450,26 @@ def test_pages(spark):
     assert text[1, "u"] == "T & U\n\nOne two\n\nThree ©" and text[2, None] == "" and text[4, "z"] == "deep &am"
 
 
+def test_visible_text_of_all_elements_stays(spark):
+    inside = "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be <noscript>the</noscript> <object data=a>number</object> of <svg width=1><text>things</text><path d=m/></svg> that we <canvas>count</canvas> <custom-tag>here</custom-tag>.</p><xmp>a <b> &amp;</xmp>"
+    page = f"<nav><a href=/>Home</a></nav><article><h1>Title of it</h1>{inside}<p>And so the story goes on for a while.</p><script>no()</script><style>p{{}}</style></article><footer>me</footer>"
+    frame = spark.createDataFrame([(1, page, "old", 5), (2, "<article>" + "<p>Some words of a long page, again and again.</p>" * 40_000 + "</article>", None, 6)], "page_id long, html string, Text string, n_chars int")
+    out = {r.page_id: r for r in pages.extract(frame).collect()}
+    assert out[1].text == "Title of it\n\nLet x=2 be the number of things that we count here.\n\na <b> &amp;\n\nAnd so the story goes on for a while."
+    assert out[2].text.count("again and again.") == 40_000 and out[2].n_chars == 6 and "Text" not in out[2].asDict()
+    assert pages.extract(frame.limit(0)).count() == 0
+
+
+def test_field_over_blocks_against_all_labellings():
+    rng, model = random.Random(7), pages.model()
+    for _ in range(40):
+        found = pages.leaf_blocks(pages.labelled_page(rng)[0])[:9]
+        x = pages.block_features(found) @ model.weights
+        score = lambda p, x=x: model.start[p[0]] + sum(x[i, k] for i, k in enumerate(p)) + sum(model.transition[i, j] for i, j in itertools.pairwise(p))
+        got = crf.viterbi(model, pages.block_features(found), np.array([0, len(found)]))
+        assert not found or score(tuple(got)) == pytest.approx(max(map(score, itertools.product(range(2), repeat=len(found)))))
+
+
 # 8
 def brute_cut(rows, length):
     raw = [(t or "").encode() for _, t in rows]

@@ -12,8 +12,9 @@ is stored.
 
 Edge cases: null and empty pages give an empty text; unclosed, misnested and cut
 markup is read as far as it goes; references that are cut stay as they are;
-pages without main text give an empty string; ids may be null or repeat; other
-columns are ignored.
+pages without main text give an empty string; ids may be null or repeat (rows are
+never merged); an empty table gives none; a column named text is replaced, other
+columns are kept.
 """
 
 from __future__ import annotations
@@ -36,7 +37,11 @@ TRAIN_PAGES, SEED = 800, 11
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _CLASS_WORD = re.compile(r"[a-z]+")
-RAW = frozenset("script style textarea title template noscript iframe xmp noembed noframes svg math object canvas audio video".split())
+#: Elements whose content no reader sees in the text, and those whose content is text without markup.
+UNSEEN = frozenset("script style textarea title template iframe noembed noframes datalist".split())
+PLAIN = frozenset("xmp listing".split())
+#: Elements of other vocabularies, which may end in their start tag.
+FOREIGN = frozenset("svg math path circle rect line polygon polyline ellipse use g stop mspace mprescripts none".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 #: What a start tag of the first kind closes when it is open.
@@ -80,6 +85,11 @@ def _own_bits(tag: str, attributes: str) -> int:
 _own_bits = functools.lru_cache(maxsize=20_000)(_own_bits)
 
 
+@functools.lru_cache(maxsize=64)
+def _closing(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}\b[^>]*>?", re.I)
+
+
 def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
     """Per leaf block: its text, the bits of its ancestors, the characters of it in links, and how deep it stands."""
     out: list[tuple[str, int, int, int]] = []
@@ -99,9 +109,9 @@ def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
             parts.clear()
         linked = 0
 
-    def add(text: str) -> None:
+    def add(text: str, markup: bool = True) -> None:
         nonlocal linked, block_bits
-        if "&" in text:
+        if markup and "&" in text:
             text = html.unescape(text)
         if not parts:
             if not text or text.isspace():
@@ -143,12 +153,17 @@ def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
                     break
             continue
         attributes = found.group(3)
-        if name in RAW:
-            if not attributes.endswith("/") or name not in ("svg", "math"):
-                stop = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-                at = stop.end() if stop else end
+        if name in UNSEEN or name in PLAIN:
+            stop = _closing(name).search(page, at)
+            if name in PLAIN:
+                flush()
+                add(page[at : stop.start() if stop else end], False)
+                flush()
+            at = stop.end() if stop else end
             add(" ")
             continue
+        if attributes.endswith("/") and name in FOREIGN:
+            continue
         if name in VOID:
             if name in BLOCK:
                 flush()

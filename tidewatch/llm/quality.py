@@ -1,8 +1,8 @@
 """Quality rules: a conditional random field labels lines as content or boilerplate.
 
 Each line of a text has features of its characters, words and repetition; the
-field is trained on a bounded sample of labelled documents (every line takes its
-document's quality label) and decoded by Viterbi over each document's lines.  A
+field is trained on a bounded sample of labelled documents (at most ``TRAIN_ROWS``,
+whole; every line takes its document's quality label) and decoded by Viterbi over each document's lines.  A
 document stays if the base rules pass and enough of its words are in content
 lines.
 
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm import crf
 from tidewatch.llm.textblock import blocks, gram_hashes, mix, span_hashes, text_bytes, word_spans
 
-#: Labelled rows that the field is trained on at most, and lines of each (for training only).
-TRAIN_ROWS, TRAIN_LINES = 2000, 64
+#: Labelled documents that the field is trained on at most, with all their lines.
+TRAIN_ROWS = 2000
 #: Least share of words in content lines.
 CONTENT_SHARE = 0.5
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -145,13 +145,24 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
             _, x, _, lines = measure(*text_bytes(block.column(text)))
-            cut = [x[a : min(b, a + TRAIN_LINES)].reshape(-1).tolist() for a, b in zip(lines[:-1].tolist(), lines[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([block.column("quality"), pa.array(cut, pa.list_(pa.float64()))], ["quality", "x"])
+            flat = np.ascontiguousarray(x.astype(np.float32)).reshape(-1)
+            ends = pa.array((lines * len(FEATURES)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([block.column("quality"), pa.LargeListArray.from_arrays(ends, pa.array(flat)).cast(pa.list_(pa.float32()))], ["quality", "x"])
 
     # at most ``rows`` ids: a proven bound
-    sample = docs.select(key, text).join(F.broadcast(chosen), key).mapInArrow(run, "quality int, x array<double>").collect()
-    xs = [np.array(r["x"]).reshape(-1, len(FEATURES)) for r in sample]
-    return crf.train(xs, [np.full(len(x), 1 - r["quality"]) for x, r in zip(xs, sample, strict=True)]) if sample else crf.Model(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.array([1.0, 0.0]))
+    sample = docs.select(key, text).join(F.broadcast(chosen), key).mapInArrow(run, "quality int, x array<float>").toArrow()
+    if not sample.num_rows:
+        return crf.Model(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.array([1.0, 0.0]))
+    xs, ys = [], []
+    for batch in sample.to_batches():
+        lists = batch.column("x")
+        at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.float64)
+        for a, b, q in zip(at[:-1].tolist(), at[1:].tolist(), batch.column("quality").to_pylist(), strict=True):
+            xs.append(flat[a:b].reshape(-1, len(FEATURES)))
+            ys.append(np.full(len(xs[-1]), 1 - q))
+    # the order of arrival decides nothing
+    order = sorted(range(len(xs)), key=lambda i: (len(xs[i]), xs[i].tobytes(), int(ys[i][0])))
+    return crf.train([xs[i] for i in order], [ys[i] for i in order])
 
 
 def judge(docs: DataFrame, model: crf.Model, text: str = "text", key: str = "doc_id") -> DataFrame:
