@@ -31,5 +31,31 @@ k AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5"""
 
 
+def near_duplicates() -> str:
+    """All pairs that share a shingle, exact similarities, and what is reachable from each document."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{letters.upper()}', '{letters}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g FROM d),
+t AS MATERIALIZED (SELECT r, unnest(g) AS x FROM s),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM t a JOIN t b ON a.x = b.x AND a.r < b.r GROUP BY ALL),
+l AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM p JOIN s x ON x.r = p.a JOIN s y ON y.r = p.b WHERE 100 * n >= 80 * (len(x.g) + len(y.g) - n) AND x.doc_id IS NOT NULL AND y.doc_id IS NOT NULL),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+c(a, b) AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+m AS (SELECT a, min(b) AS b FROM c GROUP BY a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, least(doc_id, b) AS component_id, coalesce(doc_id <= b, TRUE) AS kept FROM s LEFT JOIN m ON s.doc_id = m.a"""
+
+
+#: Every 200-byte string of every text, as hexadecimal digits.
+SUFFIX_DEDUP = """WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS MATERIALIZED (SELECT r, doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n_bytes FROM d),
+w AS MATERIALIZED (SELECT r, k, md5_number(substr(h, 2 * k + 1, 400)) AS x FROM (SELECT r, h, unnest(range(0, n_bytes - 199)) AS k FROM n)),
+c AS (SELECT x FROM w GROUP BY x HAVING count(*) > 1),
+m AS (SELECT r, k, CASE WHEN k <= lag(k) OVER (PARTITION BY r ORDER BY k) + 200 THEN 0 ELSE 1 END AS fresh FROM w SEMI JOIN c USING (x)),
+s AS (SELECT r, min(k) AS a, max(k) + 200 AS b FROM (SELECT r, k, sum(fresh) OVER (PARTITION BY r ORDER BY k ROWS UNBOUNDED PRECEDING) AS span FROM m) GROUP BY r, span),
+l AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS after FROM s),
+g AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS till, string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS kept FROM l JOIN n USING (r) GROUP BY r)
+SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(till, 0) + 1))) AS kept_sha256 FROM n LEFT JOIN g USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op9_exact_topk": TOP_K}
+    return {"op1_license_scan": license_scan(), "op5_minhash_near_dedup": near_duplicates(), "op8_suffix_dedup": SUFFIX_DEDUP, "op9_exact_topk": TOP_K}
