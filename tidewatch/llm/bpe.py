@@ -2,21 +2,22 @@
 
 1. A text's bytes are cut where a rolling hash of the last eight bytes hits a
    mask, so a passage shared by documents is cut alike wherever it stands.
-2. Chunks meet by content hash, whatever documents they come from, and each
-   distinct one is encoded once.  Only the part between its first and last *safe*
-   boundary is kept as ids.  A boundary is safe between an ASCII graphic character
-   and a following blank or line feed: the byte-level split never runs across it
-   and looks at nothing before it, so ids on both sides are the same in any
-   surroundings.
-3. The encoded chunks go back to the places that hold them, and each document's
+2. Chunk hashes are counted over all documents.  A chunk that stands in more than
+   one place is encoded once, in the first of them, and its ids go to the others.
+   Only the part between its first and last *safe* boundary is kept as ids.  A
+   boundary is safe between an ASCII graphic character and a following blank or
+   line feed: the byte-level split never runs across it and looks at nothing before
+   it, so ids on both sides are the same in any surroundings.
+3. Chunks that stand in one place only are encoded there, and each document's
    joins are repaired: what lies between the last safe boundary on the left and
    the first on the right is encoded anew; when the right chunk has none, the
    stretch grows until one comes or the text ends, and from there both encodings
    agree exactly.
 
-A chunk's places are joined, never gathered, so a chunk that a third of all
-documents hold is no hot task; a document's chunks are gathered, as its ids are.
-Texts with the string of a special token are cut nowhere.
+Texts travel once, compressed in packs of a few dozen rows; beside them only
+hashes and the ids of shared chunks do.  A chunk's places are joined, never
+gathered, so a chunk that a third of all documents hold is no hot task.  Texts
+with the string of a special token are cut nowhere.
 
 Edge cases: null and empty texts have no ids and decode to the empty string;
 a text without any safe boundary is encoded whole; ``doc_id`` may be null or
@@ -42,6 +43,8 @@ from tidewatch.llm.textblock import blocks, mix, span_hashes, text_bytes
 VOCABULARY = "byte_bpe_50k.json"
 #: One cut in this many bytes, and no chunk shorter than that before its cut.
 CHUNK_BITS, CHUNK_MIN = 9, 128
+#: Rows of a pack, as a power of two.
+PACK_BITS = 5
 #: Joins that a task remembers, and bytes of each.
 MEMO_JOINS, MEMO_BYTES = 100_000, 64
 
@@ -122,79 +125,129 @@ class Joiner:
         return b"".join(out)
 
 
-def chunks(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """``places``: _row, ``key``, n (from 0), h1, h2 of every chunk of every row; ``bodies``: h1, h2 and the bytes, once for each block of texts that holds it."""
-    special = tuple(s.encode() for s in tokens.byte_encoder(vocabulary).special)
-    kind = docs.schema[key].dataType.simpleString()
+def _spans(block: pa.RecordBatch, text: str, special: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a block, and starts, ends and row offsets of its chunks."""
+    data, off = text_bytes(block.column(text))
+    return data, *chunk_spans(data, off, special)
 
-    def spans(block: pa.RecordBatch) -> tuple:
-        data, off = text_bytes(block.column(text))
-        starts, ends, rows = chunk_spans(data, off, special)
-        h1 = span_hashes(data, starts, ends, fold=False)
-        return data, starts, ends, rows, h1.view(np.int64), mix(span_hashes(data ^ np.uint8(0x55), starts, ends, fold=False)).view(np.int64)
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            _, _, _, rows, h1, h2 = spans(block)
-            row = np.repeat(np.arange(block.num_rows), np.diff(rows))
-            n = np.arange(row.size) - rows[row]
-            yield pa.RecordBatch.from_arrays([block.column("_row").take(pa.array(row)), block.column(key).take(pa.array(row)), pa.array(n.astype(np.int32)), pa.array(h1), pa.array(h2)], ["_row", key, "n", "h1", "h2"])
+def _special(encoder) -> tuple[bytes, ...]:
+    return tuple(s.encode() for s in encoder.special)
+
 
-    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def places(rows: DataFrame, vocabulary: str, text: str) -> DataFrame:
+    """Every chunk of every row: _row, n (from 0), h1, h2 (hashes)."""
+    special = _special(tokens.byte_encoder(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
-            data, starts, ends, _, h1, h2 = spans(block)
-            _, first = np.unique(h1, return_index=True)
-            raw = data.tobytes()
-            body = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(h1[first]), pa.array(h2[first]), pa.array(body, pa.binary())], ["h1", "h2", "body"])
+            data, starts, ends, at = _spans(block, text, special)
+            row = np.repeat(np.arange(block.num_rows), np.diff(at))
+            h1 = span_hashes(data, starts, ends, fold=False)
+            h2 = mix(span_hashes(data ^ np.uint8(0x55), starts, ends, fold=False))
+            cols = [block.column("_row").take(pa.array(row)), pa.array((np.arange(row.size) - at[row]).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, ["_row", "n", "h1", "h2"])
 
-    rows = docs.select(key, text, F.monotonically_increasing_id().alias("_row"))
-    return rows.mapInArrow(places, f"_row long, `{key}` {kind}, n int, h1 long, h2 long"), docs.select(text).mapInArrow(bodies, "h1 long, h2 long, body binary")
+    return rows.select("_row", text).mapInArrow(run, "_row long not null, n int not null, h1 long not null, h2 long not null")
 
 
-def encode_chunks(bodies: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Each distinct chunk encoded once: h1, h2, head, core (ids, two bytes each where they fit), tail."""
+def _pack(row: str = "_row") -> F.Column:
+    return F.shiftright(row, PACK_BITS).alias("pack")
+
+
+def _packs(rows: DataFrame, text: str) -> DataFrame:
+    """All columns of ``rows`` in compressed packs: pack, body."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokens.byte_encoder(vocabulary)
-        for batch in batches:
-            done = [encode_chunk(x, coder) for x in batch.column("body").to_pylist()]
-            cols = [[h for h, _, _ in done], [None if c is None else coder.narrow(c) for _, c, _ in done], [t for _, _, t in done]]
-            yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), *(pa.array(c, pa.binary()) for c in cols)], ["h1", "h2", "head", "core", "tail"])
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for block in blocks(batches, text):
+            number = block.column("_row").to_numpy() >> PACK_BITS
+            edges = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
+            out = []
+            for a, b in itertools.pairwise(edges):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, block.schema, options=options) as stream:
+                    stream.write_batch(block.slice(a, b - a))
+                out.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(number[edges[:-1]]), pa.array(out, pa.binary())], ["pack", "body"])
 
-    return bodies.dropDuplicates(["h1", "h2"]).mapInArrow(run, "h1 long, h2 long, head binary, core binary, tail binary")
+    return rows.mapInArrow(run, "pack long not null, body binary not null")
+
+
+def _unpacked(body: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(body.as_buffer()).read_all().combine_chunks().to_batches()[0]
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
     """One row per document: ``key`` and ``ids``, its token ids as little-endian unsigned 32-bit bytes."""
-    kind = docs.schema[key].dataType.simpleString()
-    scratch = scratch or Scratch(docs.sparkSession, "bpe")
-    places, bodies = chunks(docs, vocabulary, text, key)
-    coded = scratch.keep(encode_chunks(bodies, vocabulary), "chunks")
-    found = places.join(coded, ["h1", "h2"]).groupBy("_row", key).agg(F.sort_array(F.collect_list(F.struct("n", "head", "core", "tail"))).alias("chunks"))
+    special = _special(tokens.byte_encoder(vocabulary))
+    rows = docs.select(key, text, F.monotonically_increasing_id().alias("_row"))
+    all_places = places(rows, vocabulary, text)
+    shared = all_places.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("_row", "n")).alias("first")).where("c > 1").select("h1", "h2", "first")
+    is_first = (F.col("first._row") == F.col("_row")) & (F.col("first.n") == F.col("n"))
+    held = all_places.join(shared, ["h1", "h2"]).select("_row", "n", "h1", "h2", is_first.alias("first"))
+    held = (scratch or Scratch(docs.sparkSession, "bpe")).keep(held, "places")
+    first = held.where("first")
+    first = first.groupBy(_pack()).agg(F.collect_list(F.struct("_row", "n", "h1", "h2")).alias("wanted"))
+    packs = _packs(rows, text)
+
+    def sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = tokens.byte_encoder(vocabulary)
+        for batch in batches:
+            for body, wanted in zip(batch.column("body"), batch.column("wanted").to_pylist(), strict=True):
+                block = _unpacked(body)
+                data, starts, ends, at = _spans(block, text, special)
+                raw, own = data.tobytes(), {r: i for i, r in enumerate(block.column("_row").to_pylist())}
+                out = []
+                for x in wanted:
+                    if x["_row"] in own:  # a pack may be in two pieces
+                        k = at[own[x["_row"]]] + x["n"]
+                        head, core, tail = encode_chunk(raw[starts[k] : ends[k]], coder)
+                        out.append((x["h1"], x["h2"], head, None if core is None else coder.narrow(core), tail))
+                if out:
+                    h1, h2, *rest = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), *(pa.array(c, pa.binary()) for c in rest)], ["h1", "h2", "head", "core", "tail"])
+
+    coded = packs.join(first, "pack").select("body", "wanted").mapInArrow(sources, "h1 long not null, h2 long not null, head binary, core binary, tail binary")
+    given = held.select("_row", "n", "h1", "h2").join(coded, ["h1", "h2"]).groupBy(_pack()).agg(F.collect_list(F.struct("_row", "n", "head", "core", "tail")).alias("given"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joiner = Joiner(tokens.byte_encoder(vocabulary))
-        wide = joiner.encoder.widen
+        coder = joiner.encoder
         for batch in batches:
-            step = max(1, (1 << 20) * batch.num_rows // max(1, batch.nbytes))
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                lists = part.column("chunks")
-                offsets, flat = lists.offsets.to_pylist(), lists.values
-                heads, cores, tails = (flat.field(c).slice(offsets[0], offsets[-1] - offsets[0]).to_pylist() for c in ("head", "core", "tail"))
-                triples = [(h, None if c is None else wide(c), t) for h, c, t in zip(heads, cores, tails, strict=True)]
-                ids = [joiner.join(triples[a - offsets[0] : b - offsets[0]]) for a, b in itertools.pairwise(offsets)]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(ids, pa.binary())], [key, "ids"])
-
-    return found.select(key, "chunks").mapInArrow(run, f"`{key}` {kind}, ids binary")
-
-
-def reuse(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", key: str = "doc_id") -> tuple[int, int]:
-    """How many chunks the texts of ``docs`` have, and how many distinct ones are encoded."""
-    places, _ = chunks(docs, vocabulary, text, key)
-    got = places.agg(F.count(F.lit(1)).alias("all"), F.count_distinct("h1", "h2").alias("distinct")).first()
-    return got["all"], got["distinct"]
+            for body, given in zip(batch.column("body"), batch.column("given"), strict=True):
+                block = _unpacked(body)
+                data, starts, ends, at = _spans(block, text, special)
+                raw, got = data.tobytes(), {}
+                for x in given.as_py() or ():
+                    got.setdefault(x["_row"], {})[x["n"]] = x["head"], None if x["core"] is None else coder.widen(x["core"]), x["tail"]
+                ids = []
+                for i, row in enumerate(block.column("_row").to_pylist()):
+                    have, triples, begin = got.get(row, {}), [], None
+                    for k in range(at[i], at[i + 1]):
+                        mine = have.get(k - at[i])
+                        # neighbours that stand here only are one stretch
+                        begin = starts[k] if begin is None else begin
+                        if mine is not None:
+                            if starts[k] > begin:
+                                triples.append(encode_chunk(raw[begin : starts[k]], coder))
+                            triples.append(mine)
+                            begin = None
+                    if begin is not None:
+                        triples.append(encode_chunk(raw[begin : ends[at[i + 1] - 1]], coder))
+                    ids.append(joiner.join(triples))
+                yield pa.RecordBatch.from_arrays([block.column(key), pa.array(ids, pa.binary())], [key, "ids"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return packs.join(given, "pack", "left").select("body", "given").mapInArrow(run, f"`{key}` {kind}, ids binary")
+
+
+def reuse(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text") -> tuple[int, int, int]:
+    """How many chunks the texts of ``docs`` have, how many of them stand in several places, and how many of those are encoded."""
+    rows = docs.select(text, F.monotonically_increasing_id().alias("_row"))
+    counts = places(rows, vocabulary, text).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("c"))
+    got = counts.agg(F.sum("c"), F.sum(F.when(F.col("c") > 1, F.col("c"))), F.count(F.when(F.col("c") > 1, 1))).first()
+    return got[0] or 0, got[1] or 0, got[2]
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, key: str = "doc_id") -> DataFrame:
