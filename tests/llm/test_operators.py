@@ -153,7 +153,7 @@ def test_toxicity(spark, awkward, empty):
     assert sum(out[i].predicted == marks[i][1] for i in held) >= 0.97 * len(held)
     assert [out[1000 + i].predicted for i in range(len(hidden))] == [1] * len(hidden)
     got = toxicity.score(awkward, model).collect()
-    assert ids_of(got) == WANTED and all(0 <= float(r.score) <= 1 for r in got)
+    assert ids_of(got) == WANTED and all(0 <= float(r.score) <= 1 and not r.predicted for r in got)
     assert toxicity.score(empty, toxicity.train(empty, labels.limit(0))).count() == 0
 
 

@@ -38,6 +38,9 @@ from tidewatch.llm.textblock import _BYTE_CODE, _power_tables, FOLD, blocks, mix
 
 TRAIN_ROWS = 20_000
 BUCKET_BITS, TOP_WORDS, SMOOTH = 18, 6, 12.0
+#: Texts of fewer words than this hardly differ by their length.
+FEW_WORDS = 8
+FEATURES = TOP_WORDS + 2
 PREFIXES, INNER = (4, 5, 6, 7), 6
 
 #: What a character may stand for (fixed values).
@@ -349,10 +352,12 @@ class Model:
 
 
 def document_features(data: np.ndarray, off: np.ndarray, decoder: Deobfuscator, odds: np.ndarray) -> np.ndarray:
-    """The highest word scores of each row, in falling order, then how many words score over 2 (logarithm)."""
+    """The highest word scores of each row, in falling order, then how many words score over 2 and how many distinct words there are (logarithms)."""
     n = off.size - 1
-    out = np.zeros((n, TOP_WORDS + 1))
+    out = np.zeros((n, FEATURES))
     buffer, ws, we, row, word = restored_words(data, off, decoder)
+    # among many words some score high by chance
+    out[:, TOP_WORDS + 1] = np.log(FEW_WORDS + np.bincount(row, minlength=n))
     if row.size:
         which, bucket = word_buckets(buffer, ws, we)
         score = np.full(len(ws), -9.0)
@@ -422,7 +427,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
     fitted = sample.where("not counted").select(text, "toxic").mapInArrow(features, "toxic int, x array<double>").toArrow()
     y = fitted.column("toxic").to_numpy().astype(np.float64)
     if not table[1, -1] or not 0 < y.sum() < len(y):
-        return Model(decoder, np.zeros(1 << BUCKET_BITS), np.zeros(TOP_WORDS + 1), -30.0)
+        return Model(decoder, np.zeros(1 << BUCKET_BITS), np.zeros(FEATURES), -30.0)
     x = np.array(fitted.column("x").to_pylist())
     order = np.lexsort((*x.T, y))  # sums do not depend on the order of arrival
     return Model(decoder, odds, *_fit(x[order], y[order]))
