@@ -5,9 +5,11 @@ from datetime import date, datetime
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tidewatch import __main__ as cli
 from tidewatch.config import DetectorConfig, Metric, previous_month
-from tidewatch.operators import decide, fences, reports, rollup, segments
+from tidewatch.operators import decide, fences, iterative, reports, rollup, segments
 from tidewatch.sources import facts
 
 CONFIG = DetectorConfig(eval_month=202701, windows=(24,))
@@ -133,3 +135,61 @@ def test_calendar_and_validation():
 def test_anti_join_keeps_unflagged_months(spark):
     rows = fences.fences(fences.statistics(frame(spark, {"four": SERIES["four"]}), CONFIG), CONFIG)
     assert sorted(r.valor_mes for r in reports.clean_months(rows, reports.outliers_only(rows)).collect()) == [10, 10, 10]
+
+
+def many_series(count=150, seed=71):
+    """Series of one level, with a lone low or high month, of two levels, and spread over orders of magnitude."""
+    rng = np.random.default_rng(seed)
+    kinds = [
+        lambda n: np.abs(rng.normal(40_000, 9_000, n)) + 1,
+        lambda n: np.append(rng.uniform(40, 400, 1), rng.uniform(70_000, 220_000, n - 1)),
+        lambda n: np.append(rng.uniform(900, 3_100, n - 1), rng.uniform(250_000, 950_000, 1)),
+        lambda n: np.append(rng.uniform(900, 2_100, n // 2), rng.uniform(85_000, 125_000, n - n // 2)),
+        lambda n: 10.0 ** rng.uniform(2, 5.5, n),
+    ]
+    return {f"s{i}": kinds[i % 5](int(rng.integers(6, 25))).tolist() for i in range(count)}
+
+
+def test_both_solvers_decide_alike(spark):
+    config = DetectorConfig(eval_month=202701, windows=(24,))
+    rows = frame(spark, many_series(), config)
+    keys = ("metodo", "k_elegido", "cluster_rank", "es_outlier", "tipo")
+    real = ("frontera_inf_log", "frontera_sup_log", "limite_inf", "limite_sup", "cluster_center")
+    exact, other = ({(r.metrica, r.codmes): r for r in decide.decide(solver.segment(rows, config), config).collect()} for solver in (segments, iterative))
+    assert exact.keys() == other.keys() and len({m for m, _ in exact}) == 150
+    for at, a in exact.items():
+        b = other[at]
+        assert [a[c] for c in keys] == [b[c] for c in keys], at
+        assert [a[c] is None for c in real] == [b[c] is None for c in real], at
+        assert [a[c] or 0.0 for c in real] == pytest.approx([b[c] or 0.0 for c in real], rel=1e-6, abs=1e-9), at
+
+
+def test_summaries_come_in_order(spark, results):
+    rows = spark.createDataFrame([(w, m, i) for i, (w, m) in enumerate([(24, "B"), (6, "B"), (6, "A"), (12, "A")])], "ventana_meses int, metodo string, dia_semana int")
+    rows = rows.withColumns({c: F.lit("x") for c in reports.KEYS if c != "dia_semana"}).withColumn("codmes_val", F.lit(202701) - F.col("dia_semana"))
+    assert [r.ventana_meses for r in reports.summary(rows).collect()] == [6, 12, 24]
+    assert [(r.ventana_meses, r.metodo) for r in reports.summary(rows, ("ventana_meses", "metodo")).collect()] == [(6, "A"), (6, "B"), (12, "A"), (24, "B")]
+    assert [r.codmes_val for r in reports.stored_months(rows).collect()] == sorted(202701 - i for i in range(4))
+
+
+@pytest.mark.parametrize("kind", ["fences", "clusters"])
+def test_command_line(spark, capsys, kind):
+    rng, rows = np.random.default_rng(5), []
+    for back in range(1, 13):
+        at = 2026 * 12 + 6 - 1 - back
+        for day in (1, 8, 15, 22):
+            rows.append((date(at // 12, at % 12 + 1, day), 5.0 if back == 3 else float(rng.integers(90_000, 120_000)), "HTML", "Marketing Contextual", "Venta TC", "Ventas"))
+    source = spark.createDataFrame(rows, "d date, v double, canal_dsc string, flujo_dsc string, productos_dsc string, objetivos_dsc string").drop_duplicates()
+    source.createOrReplaceTempView("wide")
+    table = f"cli_{kind}"
+    given = cli.arguments([kind, "--source", "wide", "--table", table, "--windows", "12", *(["--detail", f"{table}_all"] if kind == "clusters" else [])])
+    cli.run(spark, given, today=date(2026, 7, 3), metrics=(Metric("ENVIOS", "d", "v"),), min_months=1)
+    said = capsys.readouterr().out
+    assert "Flagged months by window" in said and table in said
+    if kind == "clusters":
+        assert "Acceptance case: ENVIOS, 1, 1" in said and "|202606" in said
+        assert [r.codmes_val for r in reports.stored_months(spark.table(table)).collect()] == [202606]
+        spark.sql(f"DROP TABLE {table}_all")
+    flagged = spark.table(table).where("tipo = 'BAJO'")
+    assert flagged.count() >= 1 and {r.codmes for r in flagged.collect()} == {202603}
+    spark.sql(f"DROP TABLE {table}")

@@ -23,6 +23,17 @@ def test_accumulate(spark, tmp_path, external):
     assert stored(spark, table) == [(202601, 6, 9), (202602, 6, 4)]
     put([(202601, 6)])
     assert stored(spark, table) == [(202602, 6, 4)]
+    # rows of partitions that were not announced take their place as well, whatever the session says of overwriting
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    for mode in ("dynamic", "static"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        put([(202602, 6)], (202603, 12, 5), (202603, 12, 4))
+        assert stored(spark, table) == [(202603, 12, 4), (202603, 12, 5)]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+        put([(202602, 6)], (202602, 6, 4))
+        put([(202603, 12)])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert stored(spark, table) == [(202602, 6, 4)]
     spark.sql(f"DROP TABLE {table}")
 
 

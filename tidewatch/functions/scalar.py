@@ -43,6 +43,15 @@ def from_scale(value: Column, log_scale: bool) -> Column:
     return F.pow(F.lit(10.0), value) if log_scale else value
 
 
+#: Fixed value: makes the median absolute deviation comparable with a standard deviation.
+MAD_SCALE = 0.6745
+
+
+def robust_score(value: str, middle: str, mad: str) -> Column:
+    """Modified z-score of column ``value``: 0 where half of all values are the median itself."""
+    return F.coalesce((F.col(value) - F.col(middle)) * MAD_SCALE / F.nullif(F.col(mad), F.lit(0.0)), F.lit(0.0))
+
+
 def pinned(frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Adds columns that are computed once per row.
 

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import DetectorConfig
-from tidewatch.functions.scalar import from_scale, pinned
-from tidewatch.operators.fences import MAD_SCALE
+from tidewatch.functions.scalar import from_scale, pinned, robust_score
 from tidewatch.operators.segments import POINT, quantile_of
 
 
@@ -79,7 +78,7 @@ def by_month(groups: DataFrame, config: DetectorConfig) -> DataFrame:
     clustered = F.col("metodo") == "CLUSTER"
     rows = groups.select("*", F.posexplode("pts").alias("_i", "_m"))
     rows = rows.withColumns({c: F.col(f"_m.{c}") for c in POINT}).withColumn("_seg", F.expr("if(metodo = 'CLUSTER', filter(segs, g -> _i >= g.a and _i < g.a + g.n)[0], null)"))
-    z = F.when(F.col("mad") > 0, F.lit(MAD_SCALE) * (F.col("y") - F.col("p50")) / F.col("mad")).otherwise(F.lit(0.0))
+    z = robust_score("y", "p50", "mad")
     low, high = F.coalesce(F.col("y") <= F.col("finf"), F.lit(False)), F.coalesce(F.col("y") >= F.col("fsup"), F.lit(False))
     fenced = (F.col("n") >= config.min_months) & ((F.col("y") < F.col("li")) | (F.col("y") > F.col("ls")) | (F.abs(z) > config.mad_threshold))
     rows = rows.withColumns({

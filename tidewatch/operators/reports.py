@@ -26,6 +26,9 @@ DETAIL_COLUMNS = (
     "dif_inf_p25_log", "dif_sup_p75_log", "pctl_valida_inf", "pctl_valida_sup", "mad", "mod_zscore", "es_outlier", "tipo",
 )
 ORDER = ("ventana_meses", *KEYS, "codmes")
+PROBE_COLUMNS = ("ventana_meses", "codmes", "valor_mes", "metodo", "k_elegido", "cluster_rank", "cluster_n", "frontera_inf_cluster", "limite_inf", "limite_inf_iqr", "es_outlier", "tipo")
+#: The case that a run is accepted by (metric, weekday, calendar month, words in dimensions).
+ACCEPTANCE = ("ENVIOS", 1, 1, {"productos_dsc": "VENTA TC", "flujo_dsc": "MARKETING CONTEXTUAL", "objetivo_dsc": "VENTAS", "canal_dsc": "HTML"})
 
 
 def layout(rows: DataFrame, config: DetectorConfig, columns: Sequence[str]) -> DataFrame:
@@ -33,18 +36,23 @@ def layout(rows: DataFrame, config: DetectorConfig, columns: Sequence[str]) -> D
     return rows.withColumns({"codmes_val": F.lit(config.eval_month).cast("int"), "dia_semana_dsc": weekday_label("dia_semana")}).select(*columns)
 
 
+def ordered(report: DataFrame) -> DataFrame:
+    """A report in reading order."""
+    return report.orderBy(*ORDER)
+
+
 def outliers_only(rows: DataFrame) -> DataFrame:
     return rows.where("es_outlier")
 
 
 def summary(outliers: DataFrame, by: Sequence[str] = ("ventana_meses",)) -> DataFrame:
     """Flagged months and the series they belong to, by window (and method, or evaluation month)."""
-    return outliers.groupBy(*by).agg(F.count(F.lit(1)).alias("n_outliers"), F.count_distinct(*KEYS).alias("combinaciones_afectadas"))
+    return outliers.groupBy(*by).agg(F.count(F.lit(1)).alias("n_outliers"), F.count_distinct(*KEYS).alias("combinaciones_afectadas")).orderBy(*by)
 
 
 def stored_months(stored: DataFrame) -> DataFrame:
     """Rows and series by evaluation month of an accumulated table."""
-    return stored.groupBy("codmes_val").agg(F.count(F.lit(1)).alias("n_filas"), F.count_distinct(*KEYS).alias("combinaciones"))
+    return stored.groupBy("codmes_val").agg(F.count(F.lit(1)).alias("n_filas"), F.count_distinct(*KEYS).alias("combinaciones")).orderBy("codmes_val")
 
 
 def clean_months(series: DataFrame, outliers: DataFrame) -> DataFrame:
@@ -58,4 +66,4 @@ def probe(detail: DataFrame, metric: str, weekday: int, month: int, contains: di
     hit = (F.col("metrica") == metric) & (F.col("dia_semana") == weekday) & (F.col("codmes") % 100 == month)
     for column, words in contains.items():
         hit &= F.upper(column).contains(words.upper())
-    return detail.where(hit).select("ventana_meses", "codmes", "valor_mes", "metodo", "k_elegido", "cluster_rank", "cluster_n", "frontera_inf_cluster", "limite_inf", "limite_inf_iqr", "es_outlier", "tipo")
+    return detail.where(hit).select(*PROBE_COLUMNS).orderBy("ventana_meses", "codmes")

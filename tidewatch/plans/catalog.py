@@ -8,7 +8,10 @@ their order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import tempfile
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from tidewatch.config import DetectorConfig, Metric
 from tidewatch.functions.scalar import iso_weekday, month_code, month_index, weekday_label
 from tidewatch.operators import decide, fences, reports, rollup, segments
 from tidewatch.plans import pipelines
-from tidewatch.sources import facts
+from tidewatch.sources import facts, sinks
 
 EVAL_MONTH = 200001
 METRICS = (Metric("ORDERED", "fecha_pedido", "cantidad_pedida"), Metric("SHIPPED", "fecha_envio", "importe"), Metric("DISCOUNTED", "fecha_envio", "descuento"))
@@ -122,7 +125,7 @@ rows_ AS (SELECT pts.*, stat.mod_zscore, g1.* EXCLUDE ({GROUP}), finf, fsup, ran
   metodo = 'CLUSTER' AS cl, coalesce(pts.y <= finf, FALSE) AS is_low, coalesce(pts.y >= fsup, FALSE) AS is_high
   FROM pts JOIN (SELECT {GROUP}, codmes, mod_zscore FROM stat) stat USING ({GROUP}, codmes) JOIN g1 USING ({GROUP}) LEFT JOIN finf USING ({GROUP}) LEFT JOIN fsup USING ({GROUP}) LEFT JOIN own USING ({GROUP}, i)),
 flag AS (SELECT *, CASE WHEN cl THEN is_low OR is_high ELSE n_meses >= 4 AND (y < li OR y > ls OR abs(mod_zscore) > 3.5) END AS es_outlier FROM rows_),
-detail AS (SELECT {EVAL_MONTH} AS codmes_val, ventana_meses, codmes, metrica, canal_dsc, flujo_dsc, objetivo_dsc, productos_dsc, dia_semana, valor_mes, suma_mes, n_dias, CAST(n_meses AS INTEGER) AS n_meses, y AS y_log,
+detail AS (SELECT {config.eval_month} AS codmes_val, ventana_meses, codmes, metrica, canal_dsc, flujo_dsc, objetivo_dsc, productos_dsc, dia_semana, valor_mes, suma_mes, n_dias, CAST(n_meses AS INTEGER) AS n_meses, y AS y_log,
   metodo, CASE WHEN cl THEN k ELSE 0 END AS k_elegido, CAST(CASE WHEN cl THEN rank ELSE -1 END AS INTEGER) AS cluster_id, CAST(CASE WHEN cl THEN rank ELSE -1 END AS INTEGER) AS cluster_rank,
   CASE WHEN cl THEN pow(10.0, center) END AS cluster_center, CAST(CASE WHEN cl THEN size ELSE n_meses END AS INTEGER) AS cluster_n,
   pow(10.0, p25) AS q1, pow(10.0, p50) AS mediana, pow(10.0, p75) AS q3, pow(10.0, p75) - pow(10.0, p25) AS iqr, p25 AS p25_log, p50 AS p50_log, p75 AS p75_log,
@@ -197,11 +200,6 @@ def _principal(src: DataFrame) -> DataFrame:
     return groups.select(*CLUSTER.cell, "ventana_meses", F.col("main.rank").cast("int").alias("principal"), F.col("main.n").cast("int").alias("tamano"))
 
 
-def _bands(src: DataFrame) -> DataFrame:
-    detail = fences.fences(_discrete(src), BASE)
-    return reports.clean_months(detail, reports.outliers_only(detail))
-
-
 _PROBE = {"productos_dsc": "r", "flujo_dsc": "high", "canal_dsc": "build", "objetivo_dsc": "sin"}
 _PROBE_SQL = "metrica = 'ORDERED' AND dia_semana = 1 AND codmes % 100 = 1 AND contains(upper(productos_dsc), 'R') AND contains(upper(flujo_dsc), 'HIGH') AND contains(upper(canal_dsc), 'BUILD') AND contains(upper(objetivo_dsc), 'SIN')"
 _DECIDED = _decisions(CLUSTER)
@@ -209,8 +207,62 @@ _COMBOS = "count(DISTINCT (metrica, canal_dsc, flujo_dsc, objetivo_dsc, producto
 _LABEL = "['Lun', 'Mar', 'Mie', 'Jue', 'Vie', 'Sab', 'Dom'][dia_semana] AS dia_semana_dsc"
 _FENCED = f"{_DISCRETE}, report AS (SELECT {EVAL_MONTH} AS codmes_val, {_LABEL}, * FROM fence WHERE es_outlier)"
 _FLAGGED = f"{_DECIDED}, flagged AS (SELECT {_LABEL}, * FROM detail WHERE es_outlier)"
+EARLIER = replace(CLUSTER, eval_month=199912)
+_FLAGGED_EARLIER = f"{_decisions(EARLIER)}, flagged AS (SELECT {_LABEL}, * FROM detail WHERE es_outlier)"
 _CELL_COLUMNS = (*CLUSTER.cell, "ventana_meses")
 
+
+
+def _place(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A new table's name and its folder, in the folder that driver and executors share (a local one where none is set, on one machine)."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tidewatch-")
+    own = f"{name}_{uuid.uuid4().hex[:12]}"
+    return own, f"{shared}/{own}"
+
+
+def _replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """The base run into a table, twice; what the table holds."""
+    table, path = _place(spark, "flagged_base")
+    for _ in range(2):
+        pipelines.run_fences(wide_source(spark, sf), BASE, table, path)
+    return spark.table(table)
+
+
+def _accumulated(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Cluster runs of two months into tables, the later one twice; names of the tables."""
+    (table, path), (detail, detail_path) = _place(spark, "flagged"), _place(spark, "detail")
+    source = wide_source(spark, sf)
+    for config in (EARLIER, CLUSTER, CLUSTER):
+        pipelines.run_clusters(source, config, table, detail, path, detail_path)
+    return table, detail
+
+
+def _sink_layout(spark: SparkSession, sf: str) -> DataFrame:
+    table, path = _place(spark, "layout")
+    rows = pipelines.fence_outliers(wide_source(spark, sf), BASE)
+    before = sinks.table_exists(spark, table)
+    done = [sinks.accumulate(rows, table, [(EVAL_MONTH, w) for w in BASE.windows], path) for _ in range(2)]
+    row = (before, sinks.table_exists(spark, table), *done, ",".join(sinks.partition_columns(spark, table)), ",".join(spark.table(table).columns[-2:]))
+    return spark.createDataFrame([row], "existed boolean, exists boolean, first string, second string, partitions string, last_columns string")
+
+
+def _bands_of_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of the anti-join from one stored detail, as a consumer of the tables has them."""
+    table, path = _place(spark, "fence_detail")
+    sinks.replace_table(fences.fences(_discrete(wide_source(spark, sf)), BASE), table, path)
+    detail = spark.table(table)
+    return _rounded(reports.clean_months(detail, reports.outliers_only(detail)).select(*KEY, "valor_mes"))
+
+
+def _both_months(columns: Sequence[str], flagged: bool) -> str:
+    source = "flagged" if flagged else "detail"
+    return " UNION ALL ".join(f"(SELECT * FROM ({_sql(prefix, columns, source)}))" for prefix in (_FLAGGED_EARLIER, _FLAGGED))
+
+
 CATALOGUE: list[tuple[str, Query, str]] = [
     ("presence_filter", lambda spark, sf: wide_source(spark, sf).select(*[F.count(F.when(facts.present(m), 1)).alias(m.name.lower()) for m in METRICS]), f"WITH {SRC} SELECT " + ", ".join(f"count(*) FILTER (WHERE {m.date_col} IS NOT NULL AND {m.value_col} > 0) AS {m.name.lower()}" for m in METRICS) + " FROM src"),
     _source("unpivot_metrics", ("metrica", "fecha_dt", *DIM, "cantidad"), lambda s: facts.long_facts(s, BASE, in_window=False), f"{SRC}, {_long(BASE, False)}", "facts"),
@@ -247,9 +299,13 @@ CATALOGUE: list[tuple[str, Query, str]] = [
     _source("cluster_detail_43", reports.DETAIL_COLUMNS, _detail, _DECIDED, "detail"),
     _source("cluster_outliers_38", reports.CLUSTER_COLUMNS, lambda s: pipelines.cluster_outliers(_decided(s), CLUSTER), _FLAGGED, "flagged"),
     ("method_summary", lambda spark, sf: reports.summary(reports.outliers_only(_decided(wide_source(spark, sf))), ("ventana_meses", "metodo")), f"WITH {_DECIDED} SELECT ventana_meses, metodo, count(*) AS n_outliers, {_COMBOS} AS combinaciones_afectadas FROM detail WHERE es_outlier GROUP BY ALL"),
-    _source("anti_join_bands", (*KEY, "valor_mes"), _bands, _DISCRETE, "fence WHERE NOT es_outlier"),
+    ("anti_join_bands", _bands_of_stored, _sql(_DISCRETE, (*KEY, "valor_mes"), "fence WHERE NOT es_outlier")),
     ("acceptance_probe", lambda spark, sf: _rounded(reports.probe(_decided(wide_source(spark, sf)), "ORDERED", 1, 1, _PROBE)), _sql(_DECIDED, ["ventana_meses", "codmes", "valor_mes", "metodo", "k_elegido", "cluster_rank", "cluster_n", "frontera_inf_cluster", "limite_inf", "limite_inf_iqr", "es_outlier", "tipo"], f"detail WHERE {_PROBE_SQL}")),
-    ("stored_months", lambda spark, sf: reports.stored_months(_fence_report(wide_source(spark, sf))), f"WITH {_FENCED} SELECT codmes_val, count(*) AS n_filas, {_COMBOS} AS combinaciones FROM report GROUP BY ALL"),
+    ("stored_months", lambda spark, sf: reports.stored_months(spark.table(_accumulated(spark, sf)[0])), f"SELECT codmes_val, count(*) AS n_filas, {_COMBOS} AS combinaciones FROM ({_both_months(reports.CLUSTER_COLUMNS, True)}) GROUP BY ALL"),
+    ("sink_replaced_23", lambda spark, sf: _rounded(_replaced(spark, sf).select(*reports.FENCE_COLUMNS)), _sql(_FENCED, reports.FENCE_COLUMNS, "report")),
+    ("sink_accumulated_38", lambda spark, sf: _rounded(spark.table(_accumulated(spark, sf)[0]).select(*reports.CLUSTER_COLUMNS)), _both_months(reports.CLUSTER_COLUMNS, True)),
+    ("sink_detail_43", lambda spark, sf: _rounded(spark.table(_accumulated(spark, sf)[1]).select(*reports.DETAIL_COLUMNS)), _both_months(reports.DETAIL_COLUMNS, False)),
+    ("sink_layout", _sink_layout, "SELECT FALSE AS existed, TRUE AS exists, 'created' AS first, 'updated' AS second, 'codmes_val,ventana_meses' AS partitions, 'codmes_val,ventana_meses' AS last_columns"),
 ]
 
 

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tidewatch.config import DetectorConfig
-from tidewatch.operators import decide, fences, reports, rollup, segments
+from tidewatch.operators import decide, fences, iterative, reports, rollup, segments
 from tidewatch.sources import facts, sinks
 
 
@@ -32,7 +32,8 @@ def fence_outliers(source: DataFrame, config: DetectorConfig) -> DataFrame:
 
 def cluster_detail(source: DataFrame, config: DetectorConfig) -> DataFrame:
     """Every month with its cluster, frontiers, limits and verdict."""
-    return decide.decide(segments.segment(windowed(source, config), config), config)
+    solver = iterative if config.solver == "iterative" else segments
+    return decide.decide(solver.segment(windowed(source, config), config), config)
 
 
 def cluster_outliers(detail: DataFrame, config: DetectorConfig) -> DataFrame:
@@ -51,9 +52,9 @@ def run_clusters(source: DataFrame, config: DetectorConfig, outlier_table: str,
     detail = cluster_detail(source, config).persist(StorageLevel.MEMORY_AND_DISK)
     targets = [(config.eval_month, w) for w in config.windows]
     try:
-        sinks.accumulate(cluster_outliers(detail, config), outlier_table, targets, outlier_path)
+        sinks.accumulate(cluster_outliers(detail, config), outlier_table, targets, outlier_path, order=reports.ORDER)
         if detail_table:
-            sinks.accumulate(reports.layout(detail, config, reports.DETAIL_COLUMNS), detail_table, targets, detail_path)
+            sinks.accumulate(reports.layout(detail, config, reports.DETAIL_COLUMNS), detail_table, targets, detail_path, order=reports.ORDER)
     finally:
         detail.unpersist()
     spark = source.sparkSession

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PARTITIONS = ("codmes_val", "ventana_meses")
 
@@ -35,51 +39,41 @@ def replace_table(frame: DataFrame, table: str, path: str | None = None, partiti
     _create(frame.sortWithinPartitions(*order) if order else frame, table, path, partitions)
 
 
-def accumulate(frame: DataFrame, table: str, targets: Iterable[Sequence[int]], path: str | None = None, partitions: Sequence[str] = PARTITIONS, migrate: bool = False) -> str:
+def accumulate(frame: DataFrame, table: str, targets: Iterable[Sequence[int]], path: str | None = None, partitions: Sequence[str] = PARTITIONS, migrate: bool = False, order: Sequence[str] = ()) -> str:
     """Writes the partitions of one run, keeps all others; returns what was done.
 
     ``targets`` are the partitions that the run stands for, (month, window) each.
     Those that ``frame`` has no rows for are emptied, so a second run with fewer
-    rows or windows leaves nothing stale.  A table with another layout is only
-    recreated, losing its rows, when ``migrate`` says so.
+    rows or windows leaves nothing stale.  Each partition is overwritten by name,
+    which no session setting changes and which leaves all others alone.  A table
+    with another layout is only recreated, losing its rows, when ``migrate`` says
+    so.  Rows are sorted by ``order`` within files.
     """
     spark = frame.sparkSession
-    ordered = partitions_last(frame, partitions)
+    placed = partitions_last(frame.sortWithinPartitions(*order) if order else frame, partitions)
     if not table_exists(spark, table):
-        _create(ordered, table, path, partitions)
+        _create(placed, table, path, partitions)
         return "created"
     if [c.lower() for c in partition_columns(spark, table)] != [p.lower() for p in partitions]:
         if not migrate:
             raise ValueError(f"{table} is partitioned by {partition_columns(spark, table)}, not by {list(partitions)}; pass migrate=True to recreate it")
-        replace_table(ordered, table, path, partitions)
+        replace_table(frame, table, path, partitions, order)
         return "migrated"
-    _insert_dynamic(ordered, table)
-    found = {tuple(r) for r in ordered.select(*partitions).distinct().collect()}  # a row per partition of the run
-    _clear(spark, table, partitions, [t for t in map(tuple, targets) if t not in found])
+    # a row per partition of the run
+    found = {tuple(r) for r in frame.select(*partitions).distinct().collect()}
+    for values in sorted({*map(tuple, targets), *found}):
+        _overwrite_partition(frame, table, dict(zip(partitions, values, strict=True)), order)
     return "updated"
 
 
-def _insert_dynamic(frame: DataFrame, table: str) -> None:
-    """Overwrites only the partitions that ``frame`` has; in static mode an insert would erase all others.
-
-    An insert does not see the option on its writer, so the session's setting is changed for its duration.
-    """
-    conf, key = frame.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")
+def _overwrite_partition(frame: DataFrame, table: str, values: dict[str, int], order: Sequence[str]) -> None:
+    """Puts the rows of one partition in the place of what it holds, even if there are none."""
+    spark, columns = frame.sparkSession, [c for c in frame.columns if c.lower() not in {p.lower() for p in values}]
+    hit = functools.reduce(operator.and_, (F.col(p) == v for p, v in values.items()))
+    rows = frame.where(hit)
+    view = f"partition_{uuid.uuid4().hex}"
+    (rows.sortWithinPartitions(*order) if order else rows).select(*columns).createOrReplaceTempView(view)
     try:
-        frame.write.mode("overwrite").insertInto(table)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(f'{p} = {v!r}' for p, v in values.items())}) SELECT * FROM {view}")
     finally:
-        conf.set(key, before)
-
-
-def _clear(spark: SparkSession, table: str, partitions: Sequence[str], targets: list[tuple]) -> None:
-    """Removes whole partitions with their files."""
-    if not targets:
-        return
-    location = next(r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect() if r.col_name == "Location")
-    jvm = spark._jvm
-    for values in targets:
-        path = jvm.org.apache.hadoop.fs.Path("/".join([location, *(f"{p}={v}" for p, v in zip(partitions, values, strict=True))]))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    spark.catalog.refreshTable(table)
+        spark.catalog.dropTempView(view)
