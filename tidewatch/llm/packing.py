@@ -8,7 +8,9 @@ tree whose leaves are the free capacities finds it in logarithmic time.
 
 Edge cases: an empty or null text still has its end token and is packed; a
 document longer than a sequence is cut into full pieces and a rest; equal
-lengths keep the order of (document, start); an empty table packs into nothing.
+lengths keep the order of (document, start); null and repeated ids are documents
+like all others, never merged; an empty table packs into nothing; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
