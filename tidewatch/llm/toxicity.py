@@ -56,7 +56,7 @@ GAP, WIDE_GAP = " ", "\t"
 #: Words that are remembered at most, and bytes of each; what is longer is decoded each time.
 MEMO_WORDS, MEMO_BYTES = 50_000, 64
 #: Text bytes worked on at once: what is held beside them is many times that.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Characters after which the letters that all paths share are put out.
 SETTLE = 512
 
