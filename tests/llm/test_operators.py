@@ -9,6 +9,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -635,6 +636,21 @@ def test_chunks_are_shared_across_documents(spark):
     assert {r.doc_id: r.ids for r in bpe.encode(table(spark, rows)).collect()} == {i: coder.by_library(t) for i, t in rows}
 
 
+def test_rows_in_another_order_when_read_again(spark):
+    rng = random.Random(13)
+    passages = [" ".join(words_of(rng, 300)) for _ in range(3)]
+    rows = [(i, " ".join(words_of(rng, rng.randrange(5, 60))) + " " + rng.choice(passages)) for i in range(120)]
+
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    docs = table(spark, rows).coalesce(2).mapInArrow(shuffled, "doc_id long, text string")
+    coder = tokens.byte_encoder("byte_bpe_50k.json")
+    got = bpe.encode(docs).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: coder.by_library(t) for i, t in rows} and len(got) == len(rows)
+
+
 def test_word_encoder_agrees_with_the_library():
     coder, rng = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), memo_words=50), random.Random(11)
     alphabet = "abcdeÉéßΣσς'’\"!?.,;:-_ \n\t　́ͅİıǅ漢字ひ🙂0123½²Ⅷ\x1c\x85‍<|endoftext|>"

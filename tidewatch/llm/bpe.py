@@ -15,7 +15,9 @@
    agree exactly.
 
 Texts travel once, compressed in packs of a few dozen rows; beside them only
-hashes and the ids of shared chunks do.  A chunk's places are joined, never
+hashes and the ids of shared chunks do.  Ids are taken over only where the
+chunk's own hashes agree, so rows that come in another order when they are read
+again (or computed again after the loss of an executor) cost reuse, never ids.  A chunk's places are joined, never
 gathered, so a chunk that a third of all documents hold is no hot task.  Texts
 with the string of a special token are cut nowhere.
 
@@ -131,6 +133,12 @@ def _spans(block: pa.RecordBatch, text: str, special: tuple[bytes, ...]) -> tupl
     return data, *chunk_spans(data, off, special)
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each chunk, as signed integers."""
+    h1, h2 = span_hashes(data, starts, ends, fold=False), mix(span_hashes(data ^ np.uint8(0x55), starts, ends, fold=False))
+    return h1.view(np.int64), h2.view(np.int64)
+
+
 def _special(encoder) -> tuple[bytes, ...]:
     return tuple(s.encode() for s in encoder.special)
 
@@ -143,9 +151,7 @@ def places(rows: DataFrame, vocabulary: str, text: str) -> DataFrame:
         for block in blocks(batches, text):
             data, starts, ends, at = _spans(block, text, special)
             row = np.repeat(np.arange(block.num_rows), np.diff(at))
-            h1 = span_hashes(data, starts, ends, fold=False)
-            h2 = mix(span_hashes(data ^ np.uint8(0x55), starts, ends, fold=False))
-            cols = [block.column("_row").take(pa.array(row)), pa.array((np.arange(row.size) - at[row]).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))]
+            cols = [block.column("_row").take(pa.array(row)), pa.array((np.arange(row.size) - at[row]).astype(np.int32)), *map(pa.array, _hashes(data, starts, ends))]
             yield pa.RecordBatch.from_arrays(cols, ["_row", "n", "h1", "h2"])
 
     return rows.select("_row", text).mapInArrow(run, "_row long not null, n int not null, h1 long not null, h2 long not null")
@@ -197,11 +203,13 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", ke
             for body, wanted in zip(batch.column("body"), batch.column("wanted").to_pylist(), strict=True):
                 block = _unpacked(body)
                 data, starts, ends, at = _spans(block, text, special)
-                raw, own = data.tobytes(), {r: i for i, r in enumerate(block.column("_row").to_pylist())}
+                raw, own = data.tobytes(), {r: (at[i], at[i + 1]) for i, r in enumerate(block.column("_row").to_pylist())}
+                h1, h2 = _hashes(data, starts, ends)
                 out = []
                 for x in wanted:
-                    if x["_row"] in own:  # a pack may be in two pieces
-                        k = at[own[x["_row"]]] + x["n"]
+                    begin, end = own.get(x["_row"], (0, 0))  # a pack may be in two pieces
+                    k = begin + x["n"]
+                    if k < end and (h1[k], h2[k]) == (x["h1"], x["h2"]):
                         head, core, tail = encode_chunk(raw[starts[k] : ends[k]], coder)
                         out.append((x["h1"], x["h2"], head, None if core is None else coder.narrow(core), tail))
                 if out:
@@ -209,7 +217,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", ke
                     yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), *(pa.array(c, pa.binary()) for c in rest)], ["h1", "h2", "head", "core", "tail"])
 
     coded = packs.join(first, "pack").select("body", "wanted").mapInArrow(sources, "h1 long not null, h2 long not null, head binary, core binary, tail binary")
-    given = held.select("_row", "n", "h1", "h2").join(coded, ["h1", "h2"]).groupBy(_pack()).agg(F.collect_list(F.struct("_row", "n", "head", "core", "tail")).alias("given"))
+    given = held.select("_row", "n", "h1", "h2").join(coded, ["h1", "h2"]).groupBy(_pack()).agg(F.collect_list(F.struct("_row", "n", "h1", "h2", "head", "core", "tail")).alias("given"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         joiner = Joiner(tokens.byte_encoder(vocabulary))
@@ -219,8 +227,9 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", ke
                 block = _unpacked(body)
                 data, starts, ends, at = _spans(block, text, special)
                 raw, got = data.tobytes(), {}
+                h1, h2 = _hashes(data, starts, ends)
                 for x in given.as_py() or ():
-                    got.setdefault(x["_row"], {})[x["n"]] = x["head"], None if x["core"] is None else coder.widen(x["core"]), x["tail"]
+                    got.setdefault(x["_row"], {})[x["n"]] = x["h1"], x["h2"], (x["head"], None if x["core"] is None else coder.widen(x["core"]), x["tail"])
                 ids = []
                 for i, row in enumerate(block.column("_row").to_pylist()):
                     have, triples, begin = got.get(row, {}), [], None
@@ -228,10 +237,10 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text: str = "text", ke
                         mine = have.get(k - at[i])
                         # neighbours that stand here only are one stretch
                         begin = starts[k] if begin is None else begin
-                        if mine is not None:
+                        if mine is not None and mine[:2] == (h1[k], h2[k]):
                             if starts[k] > begin:
                                 triples.append(encode_chunk(raw[begin : starts[k]], coder))
-                            triples.append(mine)
+                            triples.append(mine[2])
                             begin = None
                     if begin is not None:
                         triples.append(encode_chunk(raw[begin : ends[at[i + 1] - 1]], coder))

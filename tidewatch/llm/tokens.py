@@ -51,17 +51,22 @@ class _Encoder:
     """What both vocabularies share."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         self.path = path
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
         spec = json.load(open(path, encoding="utf-8"))  # noqa: SIM115
         self.vocab: dict[str, int] = spec["model"]["vocab"]
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.special_ids = {t["content"]: t["id"] for t in spec["added_tokens"]}
 
+    @functools.cached_property
+    def library(self):
+        """Loaded by those who need it, as are merge ranks: a worker that only decodes holds neither."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
     def by_library(self, text: str) -> bytes:
         return pack_ids(self.library.encode(text, add_special_tokens=False).ids)
 
@@ -70,11 +75,7 @@ class ByteEncoder(_Encoder):
     """Byte-level vocabulary: lossless, no normalisation."""
 
     def __init__(self, path: str):
-        import tiktoken
-
         super().__init__(path)
-        ranks = {_as_bytes(t): i for t, i in self.vocab.items() if t not in self.special_ids}
-        self._fast = tiktoken.Encoding("byte", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
         size = max([*self.vocab.values(), *self.special_ids.values()]) + 1
         pieces = [b""] * size
         for t, i in self.vocab.items():
@@ -85,6 +86,13 @@ class ByteEncoder(_Encoder):
         self._starts = np.cumsum(self._lens) - self._lens
         self._flat = np.frombuffer(b"".join(pieces), np.uint8)
 
+    @functools.cached_property
+    def _fast(self):
+        import tiktoken
+
+        ranks = {_as_bytes(t): i for t, i in self.vocab.items() if t not in self.special_ids}
+        return tiktoken.Encoding("byte", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.by_library(text)
