@@ -590,6 +590,21 @@ def test_other_rows_of_a_querys_id_count(spark, monkeypatch, rows):
     assert sorted(tuple(r) for r in mtree.top_k(vectors, vectors.where("vec_id % 50 = 0")).collect()) == sorted(want)
 
 
+@pytest.mark.parametrize(("size", "reach", "width"), [(700, 3, 4), (700, 2**27, 8), (40, 100, 5), (3, 9, 2), (600, 1, 3)])
+def test_blocks_of_queries_against_all_products(size, reach, width):
+    """Ties, products beyond doubles, fewer rows than asked for, copies of few vectors; with and without scores to beat."""
+    rng = np.random.default_rng(size + reach)
+    x, ids = rng.integers(-reach, reach, (size, width)), rng.permutation(size).astype(np.int64)
+    tree, queries, k = mtree.MTree(ids, x), x[:: max(1, size // 40)], 6
+    products = queries @ x.T
+    beat = np.sort(products, axis=1)[:, -min(size, 9)]
+    want = [[(int(p[i]), int(ids[i])) for i in np.lexsort((ids, -p))[:k]] for p in products]
+    for least in (None, beat, np.where(np.arange(len(queries)) % 2, beat, mtree._NOTHING)):
+        n, found, scores, _ = tree.search_block(queries, k, least)
+        assert [list(zip(scores[n == j].tolist(), found[n == j].tolist(), strict=True)) for j in range(len(queries))] == want
+    assert [tree.search(q, k)[0] for q in queries] == want
+
+
 def test_bounds_avoid_products(spark, monkeypatch):
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(c, 1, (500, 6)) for c in rng.normal(0, 60, (16, 6))]).round().astype(np.int64)

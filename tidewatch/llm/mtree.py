@@ -10,7 +10,9 @@ distance (triangle inequality, first over the stored parent distance, which cost
 nothing, then over its own pivot) cannot reach the k-th best is never opened;
 bounds are rounded outwards and products are computed exactly, so ties survive.
 
-Queries travel in blocks of bounded size.  Each block first goes to one tree only,
+Queries travel in blocks of bounded size, and a block is searched for as a whole:
+each query keeps bounds of its own, while products of a page with the queries that
+reach it are one matrix product.  Each block first goes to one tree only,
 which gives every query a k-th score to beat; then to the trees whose root bound
 some query of it can still reach.  A task holds one tree, which is sent once, and
 the blocks stream past it.  Each meeting gives at most k + 1 rows per query, which
@@ -43,6 +45,10 @@ from tidewatch.llm.scratch import Scratch
 TREE_ROWS, PAGE_ROWS, FANOUT, BLOCK_QUERIES = 16_384, 128, 16, 512
 #: Trees in a list that a block of queries is joined with at once.
 TREE_LIST = 64
+#: Bytes of the vectors of a tree or of a block of queries at most, whatever their dimension.
+PACK_BYTES = 1 << 24
+#: Scores to beat travel from here upwards, so that a missing one is -1; lower than any score.
+_LOWEST, _NOTHING = -(1 << 61), -(1 << 62)
 
 
 class MTree:
@@ -105,56 +111,86 @@ class MTree:
 
     def search(self, query: np.ndarray, k: int, beat: int | None = None) -> tuple[list[tuple[int, int]], int]:
         """The k largest (score, id), of scores not under ``beat``, with ties to smaller ids, and how many products were computed."""
-        if not len(self.ids):
-            return [], 0
-        q = np.append(query.astype(np.float64), 0.0)
-        own = float((q**2).sum())
-        slack = 1e-7 * (1.0 + np.sqrt(own) + np.sqrt(self.top))
-        best: list[tuple[int, int]] = []  # a heap of (score, -id)
-        worst = -np.inf  # distance beyond which nothing enters is derived from it
-        reach = np.inf if beat is None else float(np.sqrt(max(0.0, own + self.top - 2.0 * beat)))
-        computed = 0
-        root = float(np.sqrt(((q - self.pivots[0]) ** 2).sum()))
-        heap = [(max(0.0, root - self.radii[0]), 0, root)]
-        exact = float(np.abs(query).max(initial=0)) ** 2 * max(1, query.size) < 2**52
+        _, ids, scores, computed = self.search_block(query[None, :], k, None if beat is None else np.array([beat]))
+        return list(zip(scores.tolist(), ids.tolist(), strict=True)), computed
+
+    def search_block(self, queries: np.ndarray, k: int, beat: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """The same for the rows of ``queries``: number of the query, id and score of each row found, and how many products were computed.
+
+        One best-first search serves all: a node is opened for those queries only
+        whose bounds still reach it, each with its own distance to the node's pivot.
+        """
+        none, m = np.zeros(0, np.int64), len(queries)
+        if not len(self.ids) or not m:
+            return none, none, none, 0
+        x = np.column_stack([queries.astype(np.float64), np.zeros(m)])
+        own = (x**2).sum(axis=1)
+        slack = 1e-6 * (1.0 + np.sqrt(own) + np.sqrt(self.top))
+        floor = np.full(m, _NOTHING) if beat is None else np.maximum(beat, _NOTHING)
+        reach = np.full(m, np.inf)
+        held = floor > _NOTHING
+        reach[held] = self._reach(own[held], floor[held])
+        scores_of, ids_of = np.full((m, k), _NOTHING), np.zeros((m, k), np.int64)
+        exact = np.sqrt(own.max() * self.top) < 2**52
+        computed = opened = 0
+        all_of = np.arange(m)
+        gaps = self._gaps(x, own, np.zeros(1, np.int64))[:, 0]
+        bounds = np.maximum(0.0, gaps - self.radii[0]) - slack
+        heap = [(float(bounds.min()), opened, 0, all_of, gaps, bounds)]
         while heap:
-            bound, node, gap = heapq.heappop(heap)
-            if bound - slack > reach:
-                break
+            _, _, node, which, gaps, bounds = heapq.heappop(heap)
+            still = bounds <= reach[which]
+            which, gaps = which[still], gaps[still]
+            if not which.size:
+                continue
             children = self.children[node]
             if children is not None:
-                free = np.abs(gap - self.parents[children]) - self.radii[children]
-                children = children[free - slack <= reach]
-                if not children.size:
-                    continue
-                gaps = np.sqrt(((self.pivots[children] - q) ** 2).sum(axis=1))
-                bounds = np.maximum(0.0, gaps - self.radii[children])
-                for b, c, g in zip(bounds.tolist(), children.tolist(), gaps.tolist(), strict=True):
-                    if b - slack <= reach:
-                        heapq.heappush(heap, (b, c, g))
+                # stored distances first, which cost nothing
+                free = np.abs(gaps[:, None] - self.parents[children]) - self.radii[children] - slack[which, None] <= reach[which, None]
+                some = free.any(axis=0)
+                children, free = children[some], free[:, some]
+                if children.size:
+                    gaps = self._gaps(x[which], own[which], children)
+                    bounds = np.maximum(0.0, gaps - self.radii[children]) - slack[which, None]
+                    free &= bounds <= reach[which, None]
+                    for n, child in enumerate(children.tolist()):
+                        go = free[:, n]
+                        if go.any():
+                            opened += 1
+                            heapq.heappush(heap, (float(bounds[go, n].min()), opened, child, which[go], gaps[go, n], bounds[go, n]))
                 continue
             a, b = self.rows[node]
-            near = np.flatnonzero(np.abs(gap - self.leaf_gap[a:b]) - slack <= reach) + a
-            if not near.size:
-                continue
-            computed += near.size
+            near = np.abs(gaps[:, None] - self.leaf_gap[a:b]) - slack[which, None] <= reach[which, None]
+            which, rows = which[near.any(axis=1)], np.flatnonzero(near.any(axis=0)) + a
+            computed += which.size * rows.size
             if exact:
-                scores = (self.vectors[near].astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
+                scores = (queries[which].astype(np.float64) @ self.vectors[rows].astype(np.float64).T).astype(np.int64)
             else:
-                scores = self.vectors[near] @ query
-            entering = np.flatnonzero(scores >= worst) if len(best) == k else np.arange(near.size)
-            if entering.size > k:
-                entering = entering[np.lexsort((self.ids[near][entering], -scores[entering]))[:k]]
-            for i in entering.tolist():
-                item = (int(scores[i]), -int(self.ids[near[i]]))
-                if len(best) < k:
-                    heapq.heappush(best, item)
-                elif item > best[0]:
-                    heapq.heapreplace(best, item)
-            if len(best) == k:
-                worst = best[0][0]
-                reach = min(reach, float(np.sqrt(max(0.0, own + self.top - 2.0 * worst))))
-        return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1])), computed
+                scores = queries[which] @ self.vectors[rows].T
+            q, r = np.nonzero(scores >= np.maximum(floor, scores_of[:, -1])[which, None])
+            if not q.size:
+                continue
+            met = which[np.unique(q)]
+            by = np.concatenate([which[q], np.repeat(met, k)])
+            score = np.concatenate([scores[q, r], scores_of[met].ravel()])
+            name = np.concatenate([self.ids[rows[r]], ids_of[met].ravel()])
+            order = np.lexsort((name, -score, by))
+            first = np.searchsorted(by[order], met)
+            best = order[first[:, None] + np.arange(k)]
+            scores_of[met], ids_of[met] = score[best], name[best]
+            met = met[scores_of[met, -1] > _NOTHING]
+            reach[met] = np.minimum(reach[met], self._reach(own[met], scores_of[met, -1]))
+        n, at = np.nonzero(scores_of > _NOTHING)
+        return n, ids_of[n, at], scores_of[n, at], int(computed)
+
+    def _reach(self, own: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """The distances at which these scores lie."""
+        return np.sqrt(np.maximum(0.0, own + self.top - 2.0 * scores))
+
+    def _gaps(self, x: np.ndarray, own: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Distances of queries to the pivots of nodes; what cancels in the squares is within the slack."""
+        pivots = self.pivots[nodes]
+        return np.sqrt(np.maximum(0.0, own[:, None] - 2.0 * (x @ pivots.T) + (pivots**2).sum(axis=1)))
 
 
 def quantise(batch: pa.RecordBatch, key: str, column: str, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -189,9 +225,10 @@ def _packed(frame: DataFrame, key: str, column: str, scale: int, rows: int, make
         for batch in batches:
             for ids, vectors in quantise(batch, key, column, scale):
                 size = vectors.shape[1]
-                for a in range(0, len(ids), rows):
-                    held.setdefault(size, []).append((ids[a : a + rows], vectors[a : a + rows]))
-                    if sum(len(x[0]) for x in held[size]) >= rows:
+                most = max(1, min(rows, PACK_BYTES // (8 * max(1, size))))
+                for a in range(0, len(ids), most):
+                    held.setdefault(size, []).append((ids[a : a + most], vectors[a : a + most]))
+                    if sum(len(x[0]) for x in held[size]) >= most:
                         yield pack(size)
         for size in list(held):
             yield pack(size)
@@ -220,24 +257,17 @@ def _met(pairs: DataFrame, trees: DataFrame, blocks: DataFrame, k: int, partitio
                     tree, current = pickle.loads(body.as_py()), number
                     continue
                 ids, rows = pickle.loads(body.as_py())
-                least = [None if x < 0 else x + _LOWEST for x in (np.frombuffer(beat, np.int64) if beat is not None else np.full(len(ids), -1)).tolist()]
-                out, products = [], 0
-                for n, (q, x, b) in enumerate(zip(ids.tolist(), rows, least, strict=True)):
-                    found, computed = tree.search(x, k, b)
-                    products += computed
-                    own = int((x**2).sum())
-                    out += [(block, n, q, own, i, s, 0) for s, i in found]
-                out.append((block, -1, 0, 0, 0, 0, products))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["block", "n", "query_id", "own", "vec_id", "score", "products"])
+                least = None if beat is None else np.frombuffer(beat, np.int64)
+                n, found, scores, products = tree.search_block(rows, k, least if least is None else np.where(least < 0, _NOTHING, least + _LOWEST))
+                own, zero = (rows**2).sum(axis=1), np.zeros(n.size, np.int64)
+                cols = [zero + block, n, ids[n], own[n], found, scores, zero]
+                last = [block, -1, 0, 0, 0, 0, products]
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(c, x)) for c, x in zip(cols, last, strict=True)], ["block", "n", "query_id", "own", "vec_id", "score", "products"])
 
     dealt = index.unionAll(sent).repartition(partitions, "tree").sortWithinPartitions("tree", "block")
     return dealt.mapInArrow(run, "block long, n long, query_id long, own long, vec_id long, score long, products long")
 
 
-#: Scores to beat travel from here upwards, so that a missing one is -1.
-_LOWEST = -(1 << 61)
-
-
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, key: str = "vec_id", column: str = "embedding", scratch: Scratch | None = None, products: list | None = None) -> DataFrame:
     """Per query: query_id, rank (from 1), vec_id, score, for the ``k`` largest integer inner products.
 
