@@ -274,12 +274,24 @@ def restored_words(data: np.ndarray, off: np.ndarray, decoder: Deobfuscator) ->
     some = (core_words[after_of] - core_words[first_of] > 1) & (letter_words[after_of] > letter_words[first_of])
     raw = folded.tobytes()
     spelt: dict[bytes, list[int]] = {}
-    for a, b in zip(first_of[some].tolist(), after_of[some].tolist(), strict=True):
-        held = np.flatnonzero(cores[a:b])
-        a, b = a + int(held[0]), a + int(held[-1]) + 1
-        gap = starts[a + 1 : b] - ends[a : b - 1]
-        wide = [b"", *(WIDE_GAP.encode() if w else GAP.encode() for w in (gap > gap.min()).tolist())]
-        spelt.setdefault(b"".join(g + raw[starts[k] : ends[k]] for g, k in zip(wide, range(a, b), strict=True)), []).append(int(row[a]))
+    if some.any():
+        # from the first to the last word with a core, all runs in one buffer, where a gap's last byte stands for it
+        held = np.flatnonzero(cores)
+        a, b = held[np.searchsorted(held, first_of[some])], held[np.searchsorted(held, after_of[some]) - 1] + 1
+        n = b - a
+        k = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        later = k > np.repeat(a, n)
+        gap = np.append(0, starts[1:] - ends[:-1])
+        narrow = np.minimum.reduceat(np.append(gap, 0), np.column_stack([a + 1, b]).ravel())[::2]
+        begin = starts[k] - later
+        size = ends[k] - begin
+        to = np.cumsum(size)
+        spelling = folded[np.repeat(begin - (to - size), size) + np.arange(to[-1])]
+        spelling[(to - size)[later]] = np.where((gap[k] > np.repeat(narrow, n))[later], ord(WIDE_GAP), ord(GAP))
+        run_to = to[np.cumsum(n) - 1].tolist()
+        joined_up = spelling.tobytes()
+        for x, y, r in zip([0, *run_to[:-1]], run_to, row[a].tolist(), strict=True):
+            spelt.setdefault(joined_up[x:y], []).append(r)
     extra: list[bytes] = []
     at = folded.size
     # by distinct word: the likeliest word in its place; more readings are words of their own
