@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, chat, licenses, mtree, neardup, oracle, packing, pages, quality, repeats, toxicity
+from tidewatch.llm import bpe, chat, licenses, mtree, neardup, oracle, packing, pages, quality, repeats, resampling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +60,13 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op4_chat_transcripts, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip)}
+    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op4_chat_transcripts, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip, op11_target_resampling)}
 
 
 def oracle_sql() -> dict[str, str]:
