@@ -75,5 +75,20 @@ o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_fea
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= many THEN place END AS rank FROM z LEFT JOIN o USING (r)"""
 
 
+def document_fingerprints() -> str:
+    """Neighbours by a window over all rows, sets of hashes by list functions."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    hashes = lambda c: f"(SELECT list_transform(CASE WHEN len(w) = 0 THEN [] ELSE range(1, greatest(len(w) - 4, 1) + 1) END, lambda i: substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 16)) FROM (SELECT list_filter(regexp_split_to_array(translate({c}, '{letters.upper()}', '{letters}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w))"
+    kept = lambda c: f"CASE WHEN len({c}) > 0 AND len(list_filter({c}, lambda h: h < '2')) = 0 THEN [list_min({c})] ELSE list_sort(list_distinct(list_filter({c}, lambda h: h < '2'))) END"
+    near = lambda a, b: f"CASE WHEN least(len({a}), len({b})) > 0 THEN len(list_intersect({a}, {b}))::DOUBLE / least(len({a}), len({b})) WHEN len({a}) = len({b}) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, md5(coalesce(text, ''))) AS n, doc_id, coalesce(text, '') AS text FROM documents),
+h AS MATERIALIZED (SELECT n, doc_id, text, {hashes('text')} AS h FROM d),
+s AS MATERIALIZED (SELECT n, doc_id, text, {kept('h')} AS s FROM h),
+p AS MATERIALIZED (SELECT a.doc_id, a.text, a.s, b.s AS t, left(a.text, length(a.text) - length(a.text) // 2) || left(b.text, length(a.text) // 2) AS edited FROM s a JOIN s b ON b.n = a.n % (SELECT count(*) FROM d) + 1),
+e AS MATERIALIZED (SELECT *, {hashes('edited')} AS h FROM p),
+k AS MATERIALIZED (SELECT *, {kept('h')} AS u FROM e)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(s, '') AS fingerprint, array_to_string(u, '') AS edited_fingerprint, {near('s', 'u')} AS near_edited, {near('s', 't')} AS near_next FROM k"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": license_scan(), "op5_minhash_near_dedup": near_duplicates(), "op8_suffix_dedup": SUFFIX_DEDUP, "op9_exact_topk": TOP_K, "op11_target_resampling": TARGET_RESAMPLING}
+    return {"op1_license_scan": license_scan(), "op5_minhash_near_dedup": near_duplicates(), "op8_suffix_dedup": SUFFIX_DEDUP, "op9_exact_topk": TOP_K, "op11_target_resampling": TARGET_RESAMPLING, "op13_document_fingerprints": document_fingerprints()}
