@@ -86,6 +86,20 @@ def fingerprint(hashes: Column) -> Column:
     return F.array_join(hashes, "")
 
 
+def packed(hashes: Column) -> Column:
+    """A sketch in eight bytes a hash."""
+    return F.unhex(fingerprint(hashes))
+
+
+def unpacked(body: Column) -> Column:
+    def spread(digits: Column) -> Column:
+        count = (F.length(digits) / _DIGITS).cast("int")
+        starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(digits, i * _DIGITS + 1, _DIGITS))
+
+    return _once(F.lower(F.hex(body)), spread)
+
+
 def numbered(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, int]:
     """doc_id, text and n (0, 1, 2 and so on in falling order of ids), and the number of rows."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -112,12 +126,12 @@ def edits(docs: DataFrame, shingle: int = SHINGLE, fraction: float = FRACTION, g
     # the first row of a group also ends the group before it, and the very first row the last group
     ends = F.when(F.col("n") % group == 0, F.struct(F.pmod(own - 1, F.lit(groups)).alias("g"), (F.when(F.col("n") == 0, F.lit(total)).otherwise(F.col("n"))).alias("place"), F.lit(True).alias("copy")))
     begins = F.struct(own.alias("g"), F.col("n").alias("place"), F.lit(False).alias("copy"))
-    dealt = rows.withColumn("sketch", sketch(F.col("text"), shingle, fraction)).select("doc_id", "text", "sketch", F.explode(F.array(begins, ends)).alias("at")).where("at is not null")
+    dealt = rows.withColumn("sketch", packed(sketch(F.col("text"), shingle, fraction))).select("doc_id", "text", "sketch", F.explode(F.array(begins, ends)).alias("at")).where("at is not null")
     following = Window.partitionBy("at.g").orderBy("at.place")
     paired = dealt.withColumns({"next": F.lead("text").over(following), "next_sketch": F.lead("sketch").over(following)}).where("not at.copy")
     half = F.floor(F.char_length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.char_length("text") - half), F.left("next", half))
-    paired = paired.select("doc_id", "text", "sketch", edited.alias("edited"), "next_sketch")
+    paired = paired.select("doc_id", "text", unpacked(F.col("sketch")).alias("sketch"), edited.alias("edited"), unpacked(F.col("next_sketch")).alias("next_sketch"))
     return paired.select("doc_id", "text", "sketch", "edited", sketch(F.col("edited"), shingle, fraction).alias("edited_sketch"), "next_sketch")
 
 
