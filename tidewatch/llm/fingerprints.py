@@ -92,12 +92,11 @@ def packed(hashes: Column) -> Column:
 
 
 def unpacked(body: Column) -> Column:
-    def spread(digits: Column) -> Column:
-        count = (F.length(digits) / _DIGITS).cast("int")
-        starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(digits, i * _DIGITS + 1, _DIGITS))
-
-    return _once(F.lower(F.hex(body)), spread)
+    size = _DIGITS // 2
+    count = (F.octet_length(body) / size).cast("int")
+    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    # cut as bytes: a place in a string is found by counting its characters
+    return F.transform(starts, lambda i: F.lower(F.hex(F.substring(body, i * size + 1, size))))
 
 
 def numbered(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, int]:
