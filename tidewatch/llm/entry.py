@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, chat, fingerprints, licenses, mtree, neardup, oracle, packing, pages, quality, repeats, resampling, toxicity
+from tidewatch.llm import alignment, bpe, chat, fingerprints, licenses, mtree, neardup, oracle, packing, pages, quality, repeats, resampling, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,12 +65,16 @@ def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op4_chat_transcripts, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip, op11_target_resampling, op13_document_fingerprints)}
+    return {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_toxicity, op4_chat_transcripts, op5_minhash_near_dedup, op6_packing, op7_html_extraction, op8_suffix_dedup, op9_exact_topk, op10_bpe_roundtrip, op11_target_resampling, op12_cross_tokenizer_alignment, op13_document_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

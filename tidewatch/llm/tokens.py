@@ -98,6 +98,15 @@ class ByteEncoder(_Encoder):
             return self.by_library(text)
         return pack_ids(self._fast.encode_ordinary(text))
 
+    def encode_plain(self, text: str) -> list[int]:
+        """Ids of a text in which strings of special tokens are ordinary text."""
+        return self._fast.encode_ordinary(text)
+
+    @property
+    def lengths(self) -> np.ndarray:
+        """Bytes of each id's token."""
+        return self._lens
+
     @property
     def _narrow(self) -> bool:
         return self._lens.size <= 1 << 16
