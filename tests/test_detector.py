@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewatch import __main__ as cli
 from tidewatch.config import DetectorConfig, Metric, previous_month
-from tidewatch.operators import decide, fences, iterative, reports, rollup, segments
-from tidewatch.sources import facts
+from tidewatch.operators import counts, decide, fences, grouped, iterative, reports, rollup, segments
+from tidewatch.plans import pipelines
+from tidewatch.sources import facts, sinks
 
 CONFIG = DetectorConfig(eval_month=202701, windows=(24,))
 COLUMNS = "metrica string, canal_dsc string, flujo_dsc string, productos_dsc string, objetivo_dsc string, dia_semana int, ventana_meses int, codmes int, mes_idx int, valor_mes double, suma_mes double, n_dias long"
@@ -164,6 +165,115 @@ def test_both_solvers_decide_alike(spark):
         assert [a[c] or 0.0 for c in real] == pytest.approx([b[c] or 0.0 for c in real], rel=1e-6, abs=1e-9), at
 
 
+def test_grouped_map_decides_alike(spark):
+    """150 series: the callable, the grouped map over all windows and the expressions say the same."""
+    config = DetectorConfig(eval_month=202701, windows=(6, 12, 24))
+    rows = frame(spark, many_series(), config).drop("ventana_meses", "y").withColumn("dif_meses", F.lit(config.eval_index) - F.col("mes_idx"))
+    groups = segments.solve(segments.gather_windows(fences.on_scale(rows, config), config), config)
+    exact = {(r.metrica, r.ventana_meses, r.codmes): r for r in decide.decide(groups, config).collect()}
+    mapped = {(r.metrica, r.ventana_meses, r.codmes): r for r in grouped.decide(rows, config).collect()}
+    # windows gathered one by one
+    apart = {(r.metrica, r.ventana_meses, r.codmes): r for r in decide.decide(segments.segment(fences.on_scale(rollup.explode_windows(rows, config), config), config), config).collect()}
+    assert exact.keys() == mapped.keys() == apart.keys() and len({m for m, *_ in exact}) == 150
+    for at, a in exact.items():
+        for c in grouped.NAMES:
+            for other in (mapped[at][c], apart[at][c]):
+                assert other == (pytest.approx(a[c], rel=1e-9, abs=1e-9) if isinstance(a[c], float) else a[c]), (at, c)
+
+
+def test_decision_without_spark(monkeypatch):
+    config = DetectorConfig(eval_month=202701, windows=(24,))
+    said = grouped.decide_series(np.log10([191.0, *RNG.uniform(100000, 180000, 11)]), config)
+    assert said["metodo"][0] == "CLUSTER" and said["tipo"] == ["BAJO"] + [None] * 11 and said["k_elegido"][0] == 2
+    assert grouped.decide_series(np.full(8, 2.0), config)["metodo"] == ["IQR_MAD_DEGENERADO"] * 8
+    # a segmentation that fails is contained: the fence rule decides
+    monkeypatch.setattr(grouped, "segment", lambda *_: (_ for _ in ()).throw(ZeroDivisionError))
+    said = grouped.decide_series(np.log10([191.0, *RNG.uniform(100000, 180000, 11)]), config)
+    assert said["metodo"][0] == "IQR_MAD_ERROR" and said["es_outlier"] == [True] + [False] * 11 and said["cluster_center"] == [None] * 12
+
+
+def test_monotone_splits_are_optimal():
+    rng = np.random.default_rng(8)
+
+    def by_all_cuts(s, most):
+        costs, n = grouped.Costs(s), s.size
+        best = np.append(np.inf, costs(0, np.arange(1, n + 1)))
+        out = [best[n]]
+        for k in range(2, most + 1):
+            best = np.array([np.inf] * k + [min(best[j] + costs(j, i) for j in range(k - 1, i)) for i in range(k, n + 1)])
+            out.append(best[n])
+        return out
+
+    for n in [*range(3, 30), 80]:
+        s = np.sort(np.round(10 ** rng.uniform(0, 3, n), int(rng.integers(0, 3))))
+        most = min(5, n - 1, np.unique(s).size)
+        assert grouped.segment(s, 5)[0] == pytest.approx(by_all_cuts(s, most) if most > 1 else [], abs=1e-6)
+    # steps grow with n log n: four times the values, about five times the steps, not sixteen
+    steps = []
+    for n in (600, 2400):
+        s, count = np.sort(rng.normal(size=n)), [0]
+        costs = grouped.Costs(s)
+        before = np.append(np.inf, costs(0, np.arange(1, n + 1)))
+
+        def counted(a, b, costs=costs, count=count):
+            count[0] += np.size(a)
+            return costs(a, b)
+
+        grouped.layer(before, counted, 2, n)
+        steps.append(count[0])
+    assert steps[1] < 7 * steps[0] and steps[0] < 600 * 600 / 10
+
+
+def test_unreadable_values_are_set_apart(spark):
+    rows = [("c", "f", "p", "o", "2025-08-04 13:00:00", "5", "2025-08-05", "x1"), ("c", "f", "p", "o", "4 August", "7", "2025-08-05", "2"), (None, "f", "p", "o", None, None, "2025-08-06", "3")]
+    source = spark.createDataFrame(rows, "canal_dsc string, flujo_dsc string, productos_dsc string, objetivos_dsc string, d1 string, v1 string, d2 string, v2 string")
+    clean, apart = facts.parsed(source, INGEST)
+    assert sorted((r.metrica, r.canal_dsc, r.fecha, r.valor, r.motivo) for r in apart.collect()) == [("A", "c", "4 August", "7", "fecha"), ("B", "c", "2025-08-05", "x1", "valor")]
+    assert sorted((r.metrica, r.cantidad) for r in facts.long_facts(clean, INGEST).collect()) == [("A", 5.0), ("B", 2.0), ("B", 3.0)]
+    typed = spark.createDataFrame([("c", "f", "p", "o", datetime(2025, 8, 4), 2.0, None, None)], SOURCE)
+    same, none = facts.parsed(typed, INGEST)
+    assert same.schema == typed.schema and none.count() == 0
+
+
+def test_counts_merge_over_groups(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = [(int(w), "AB"[i % 2], f"s{int(rng.integers(40))}" if i % 7 else None) for i, w in enumerate(rng.choice([6, 12], 400))]
+    frame_ = spark.createDataFrame(rows, "ventana_meses int, metodo string, serie_dsc string").fillna("none")
+    numbers = counts.number_series(frame_, str(tmp_path / "a"), ("serie_dsc",))
+    assert sorted(r.serie for r in numbers.collect()) == list(range(numbers.count()))
+    parts = counts.partials(frame_, numbers, ("ventana_meses", "metodo"), ("serie_dsc",))
+    for by in (("ventana_meses", "metodo"), ("ventana_meses",), ("metodo",)):
+        want = {tuple(r[c] for c in by): (r.n, r.d) for r in frame_.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("serie_dsc").alias("d")).collect()}
+        assert {tuple(r[c] for c in by): (r.n_outliers, r.combinaciones_afectadas) for r in counts.summary(parts, by).collect()} == want
+    # series that come later get the numbers that follow
+    more = frame_.unionByName(spark.createDataFrame([(6, "A", "new")], frame_.schema))
+    later = {r.serie_dsc: r.serie for r in counts.number_series(more, str(tmp_path / "b"), ("serie_dsc",), numbers).collect()}
+    assert later.pop("new") == len(later) and later == {r.serie_dsc: r.serie for r in numbers.collect()}
+
+
+def test_stored_anti_join_needs_no_exchange(spark):
+    series = {f"s{i}": np.append(RNG.uniform(900, 1100, 11), 9e6).tolist() for i in range(30)}
+    for month in (202701, 202702):
+        config = DetectorConfig(eval_month=month, windows=(12,), buckets=4)
+        months = frame(spark, series, config).drop("ventana_meses", "y").withColumn("dif_meses", F.lit(config.eval_index) - F.col("mes_idx"))
+        if month == 202702:  # nothing is flagged in the second evaluation
+            months = months.where("valor_mes < 1e6")
+        pipelines.run_clusters(months, config, "bands_flagged", "bands_detail", months=months)
+    clean = reports.stored_clean_months(spark, "bands_detail", "bands_flagged")
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan and "LeftAnti" in plan
+    got = clean.groupBy("codmes_val").count().collect()
+    flagged = spark.table("bands_flagged").groupBy("codmes_val").count().collect()
+    every = spark.table("bands_detail").groupBy("codmes_val").count().collect()
+    as_dict = lambda rs: {r[0]: r[1] for r in rs}
+    assert as_dict(got) == {m: n - as_dict(flagged).get(m, 0) for m, n in as_dict(every).items()} and as_dict(flagged) == {202701: 30}
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    for t in ("bands_flagged", "bands_detail"):
+        sinks.drop_table(spark, t)
+    with pytest.raises(ValueError):
+        reports.clean_months(clean, clean.drop("codmes_val"))
+
+
 def test_summaries_come_in_order(spark, results):
     rows = spark.createDataFrame([(w, m, i) for i, (w, m) in enumerate([(24, "B"), (6, "B"), (6, "A"), (12, "A")])], "ventana_meses int, metodo string, dia_semana int")
     rows = rows.withColumns({c: F.lit("x") for c in reports.KEYS if c != "dia_semana"}).withColumn("codmes_val", F.lit(202701) - F.col("dia_semana"))
@@ -189,7 +299,7 @@ def test_command_line(spark, capsys, kind):
     if kind == "clusters":
         assert "Acceptance case: ENVIOS, 1, 1" in said and "|202606" in said
         assert [r.codmes_val for r in reports.stored_months(spark.table(table)).collect()] == [202606]
-        spark.sql(f"DROP TABLE {table}_all")
+        sinks.drop_table(spark, f"{table}_all")
     flagged = spark.table(table).where("tipo = 'BAJO'")
     assert flagged.count() >= 1 and {r.codmes for r in flagged.collect()} == {202603}
-    spark.sql(f"DROP TABLE {table}")
+    sinks.drop_table(spark, table)

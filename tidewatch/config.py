@@ -62,8 +62,10 @@ class DetectorConfig:
     max_outlier_share: float = 0.40
     percentile_tolerance: float = 0.50
     floor: float = 1e-9
-    #: "exact" (expressions) or "iterative" (a solver of another kind, in Python workers, to check the first by).
+    #: "exact" (expressions), "grouped" (the whole decision in Python workers, a series at a time) or "iterative" (a solver of another kind, to check the first by).
     solver: str = "exact"
+    #: Files of each stored partition are dealt by series into so many buckets; 0 deals them not at all.
+    buckets: int = 16
     metrics: tuple[Metric, ...] = DEFAULT_METRICS
     dimensions: tuple[tuple[str, str, str], ...] = DEFAULT_DIMENSIONS
 
@@ -72,7 +74,7 @@ class DetectorConfig:
             raise ValueError(f"eval_month must be yyyymm, not {self.eval_month}")
         if not self.windows or min(self.windows) < 1:
             raise ValueError("windows must be positive numbers of months")
-        if self.solver not in ("exact", "iterative"):
+        if self.solver not in ("exact", "grouped", "iterative"):
             raise ValueError(f"unknown solver {self.solver}")
         if self.k_max < 1 or self.min_months < 1 or not self.metrics:
             raise ValueError("k_max, min_months and metrics must not be empty or under one")

@@ -56,10 +56,14 @@ def farthest_from_chord(costs: list[float]) -> int:
 
 def segment(rows: DataFrame, config: DetectorConfig) -> DataFrame:
     """As :func:`tidewatch.operators.segments.segment`: one row per series and window with k and segs."""
+    return solve(gather(rows, config), config)
+
+
+def solve(groups: DataFrame, config: DetectorConfig) -> DataFrame:
     limit = config.k_max
 
     @F.pandas_udf("inertias array<double>, k int, segs array<struct<rank:int,a:int,n:int,lo:double,hi:double,center:double>>")
-    def solve(series: pd.Series) -> pd.DataFrame:
+    def found(series: pd.Series) -> pd.DataFrame:
         out = []
         for s in series:
             s = np.asarray(s, np.float64)
@@ -75,4 +79,4 @@ def segment(rows: DataFrame, config: DetectorConfig) -> DataFrame:
             out.append(([c for c, _ in tried], k, segs if k > 1 else None))
         return pd.DataFrame(out, columns=["inertias", "k", "segs"])
 
-    return gather(rows, config).withColumn("_found", solve("s")).select("*", "_found.*").drop("_found")
+    return groups.withColumn("_found", found("s")).select("*", "_found.*").drop("_found")

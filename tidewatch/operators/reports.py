@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.config import DetectorConfig
@@ -56,11 +56,35 @@ def stored_months(stored: DataFrame) -> DataFrame:
 
 
 def clean_months(series: DataFrame, outliers: DataFrame) -> DataFrame:
-    """Months for building bands: those of ``series`` that are not flagged for the same window, series and month."""
+    """Months for building bands: those of ``series`` that are not flagged for the same evaluation month, window, series and month.
+
+    Frames of a single run may leave ``codmes_val`` out, both of them.
+    """
     keys = ["ventana_meses", *KEYS, "codmes"]
+    have = ["codmes_val" in f.columns for f in (series, outliers)]
+    if have[0] != have[1]:
+        raise ValueError("codmes_val is in one of the two frames only")
+    keys = ["codmes_val", *keys] if have[0] else keys
     return series.join(outliers.select(*keys), keys, "left_anti")
 
 
+def stored_clean_months(spark: SparkSession, detail_table: str, outlier_table: str) -> DataFrame:
+    """As :func:`clean_months`, over stored tables whose files are dealt by series: no exchange on either side.
+
+    The frame belongs to a session of its own, in which a join may rely on a part
+    of its keys being dealt alike; the caller's settings stay as they are.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    # tables grow with months: neither side has a proven bound
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    return clean_months(own.table(detail_table), own.table(outlier_table))
+
+
 def probe(detail: DataFrame, metric: str, weekday: int, month: int, contains: dict[str, str]) -> DataFrame:
     """Rows of one metric, weekday and calendar month whose dimensions contain the given words, case ignored."""
     hit = (F.col("metrica") == metric) & (F.col("dia_semana") == weekday) & (F.col("codmes") % 100 == month)

@@ -9,9 +9,13 @@ from tidewatch.config import DetectorConfig
 from tidewatch.functions.scalar import iso_weekday, month_code, month_index
 
 
+def with_weekday(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("dia_semana", iso_weekday("fecha_dt"))
+
+
 def daily(facts: DataFrame, config: DetectorConfig) -> DataFrame:
     """Sum of each series and day; the weekday is part of the series."""
-    return facts.withColumn("dia_semana", iso_weekday("fecha_dt")).groupBy(*config.cell, "fecha_dt").agg(F.sum("cantidad").alias("cantidad_dia"))
+    return with_weekday(facts).groupBy(*config.cell, "fecha_dt").agg(F.sum("cantidad").alias("cantidad_dia"))
 
 
 def monthly(days: DataFrame, config: DetectorConfig) -> DataFrame:

@@ -24,6 +24,16 @@ def gather(rows: DataFrame, config: DetectorConfig) -> DataFrame:
     return pinned(groups, {"n": F.size("pts"), "s": F.col("pts.y")})
 
 
+def gather_windows(months: DataFrame, config: DetectorConfig) -> DataFrame:
+    """As :func:`gather`, from months with y and dif_meses: each month is gathered once, and every window is a part of its series's one array."""
+    series = months.groupBy(*config.cell).agg(F.collect_list(F.struct("dif_meses", *POINT)).alias("_all"))
+    window = lambda w: F.struct(F.lit(w).alias("ventana_meses"), F.filter("_all", lambda m: m["dif_meses"] <= w).alias("_own"))
+    parts = series.select(*config.cell, F.inline(F.array(*[window(w) for w in config.windows]))).where(F.size("_own") > 0)
+    points = F.array_sort(F.transform("_own", lambda m: F.struct(*[m[c].alias(c) for c in POINT])))
+    groups = pinned(parts.select(*config.cell, "ventana_meses", points.alias("pts")), {"_p": F.col("pts")}).drop("pts").withColumnRenamed("_p", "pts")
+    return pinned(groups, {"n": F.size("pts"), "s": F.col("pts.y")})
+
+
 def quantile_of(array: str, share: float) -> str:
     """Interpolated quantile of a sorted, nonempty array, as SQL."""
     at = f"((size({array}) - 1) * {share}D)"
@@ -82,6 +92,11 @@ def clusters(groups: DataFrame) -> DataFrame:
     return pinned(groups, {"segs": F.expr(f"if(k >= 2, {seg}, null)")})
 
 
+def solve(groups: DataFrame, config: DetectorConfig) -> DataFrame:
+    """optimal_costs, elbow and clusters in a row."""
+    return clusters(elbow(optimal_costs(groups, config)))
+
+
 def segment(rows: DataFrame, config: DetectorConfig) -> DataFrame:
-    """gather, optimal_costs, elbow and clusters in a row; ``rows`` have y."""
-    return clusters(elbow(optimal_costs(gather(rows, config), config)))
+    """gather and solve; ``rows`` have y."""
+    return solve(gather(rows, config), config)

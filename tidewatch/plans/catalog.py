@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import DetectorConfig, Metric
 from tidewatch.functions.scalar import iso_weekday, month_code, month_index, weekday_label
-from tidewatch.operators import decide, fences, reports, rollup, segments
+from tidewatch.operators import counts, decide, fences, grouped, reports, rollup, segments
 from tidewatch.plans import pipelines
-from tidewatch.sources import facts, sinks
+from tidewatch.sources import daily_store, facts, sinks
 
 EVAL_MONTH = 200001
 METRICS = (Metric("ORDERED", "fecha_pedido", "cantidad_pedida"), Metric("SHIPPED", "fecha_envio", "importe"), Metric("DISCOUNTED", "fecha_envio", "descuento"))
@@ -184,7 +184,7 @@ def _detail(src: DataFrame) -> DataFrame:
 
 
 def _groups(src: DataFrame) -> DataFrame:
-    return segments.segment(pipelines.windowed(src, CLUSTER), CLUSTER)
+    return pipelines.series_segments(pipelines.monthly_series(src, CLUSTER), CLUSTER)
 
 
 def _curve(src: DataFrame) -> DataFrame:
@@ -211,6 +211,8 @@ EARLIER = replace(CLUSTER, eval_month=199912)
 _FLAGGED_EARLIER = f"{_decisions(EARLIER)}, flagged AS (SELECT {_LABEL}, * FROM detail WHERE es_outlier)"
 _CELL_COLUMNS = (*CLUSTER.cell, "ventana_meses")
 
+#: Tables that an earlier call of a query has written, by application and name.
+_PLACED: dict[tuple[str, str], str] = {}
 
 
 def _place(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -221,6 +223,13 @@ def _place(spark: SparkSession, name: str) -> tuple[str, str]:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="tidewatch-")
     own = f"{name}_{uuid.uuid4().hex[:12]}"
+    # the table of the call before goes now, the last one's files with the application
+    at = (spark.sparkContext.applicationId, name)
+    if at in _PLACED:
+        sinks.drop_table(spark, _PLACED[at])
+    _PLACED[at] = own
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared}/{own}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return own, f"{shared}/{own}"
 
 
@@ -246,8 +255,57 @@ def _sink_layout(spark: SparkSession, sf: str) -> DataFrame:
     rows = pipelines.fence_outliers(wide_source(spark, sf), BASE)
     before = sinks.table_exists(spark, table)
     done = [sinks.accumulate(rows, table, [(EVAL_MONTH, w) for w in BASE.windows], path) for _ in range(2)]
-    row = (before, sinks.table_exists(spark, table), *done, ",".join(sinks.partition_columns(spark, table)), ",".join(spark.table(table).columns[-2:]))
-    return spark.createDataFrame([row], "existed boolean, exists boolean, first string, second string, partitions string, last_columns string")
+    said = {"existed": before, "exists": sinks.table_exists(spark, table), "first": done[0], "second": done[1], "partitions": ",".join(sinks.partition_columns(spark, table)), "last_columns": ",".join(spark.table(table).columns[-2:])}
+    return spark.table(table).groupBy("codmes_val", "ventana_meses").agg(F.count(F.lit(1)).alias("n")).withColumns({c: F.lit(v) for c, v in said.items()})
+
+
+def _maintained(spark: SparkSession, sf: str) -> str:
+    """A store of daily totals: first all but the late rows, then those, then the same batch once more; its name."""
+    table, path = _place(spark, "daily")
+    source = wide_source(spark, sf)
+    late = (F.col("fecha_pedido") >= F.lit("1999-10-05").cast("date")) & (F.col("cantidad_pedida") % 5 == 0)
+    late = F.coalesce(late, F.lit(False))
+    daily_store.add(source.where(~late), BASE, table, "history", path)
+    for _ in range(2):
+        daily_store.add(source.where(late), BASE, table, "late", path)
+    return table
+
+
+def _bands_of_two_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The anti-join over the tables of two evaluation months; each month is cleaned of its own outliers alone."""
+    flagged, detail = _accumulated(spark, sf)
+    return _rounded(reports.stored_clean_months(spark, detail, flagged).select("codmes_val", *KEY, "valor_mes"))
+
+
+def _migrated(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of the layout before (by window only) with one month in it, taken over by the run of the next month."""
+    table, path = _place(spark, "migrated")
+    source = wide_source(spark, sf)
+    pipelines.cluster_outliers(pipelines.cluster_detail(source, EARLIER), EARLIER).write.partitionBy("ventana_meses").format("parquet").option("path", f"{path}/before").saveAsTable(table)
+    pipelines.run_clusters(source, CLUSTER, table, None, f"{path}/versions", migrate=True)
+    spark.sql(f"DROP TABLE {table}__before_0")
+    return _rounded(spark.table(table).select(*reports.CLUSTER_COLUMNS))
+
+
+def _merged_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and different series by evaluation month, merged from bitmaps by month, window and method."""
+    flagged = spark.table(_accumulated(spark, sf)[0])
+    numbers = counts.number_series(flagged, _place(spark, "series")[1])
+    return counts.summary(counts.partials(flagged, numbers, ("codmes_val", "ventana_meses", "metodo")), ("codmes_val",))
+
+
+_BAD = "cantidad_pedida = 13 AND descuento = 4"
+_DIMS = "dims AS (SELECT coalesce(nullif(canal_dsc, ''), 'SIN CANAL') AS canal_dsc, coalesce(nullif(flujo_dsc, ''), 'SIN FLUJO') AS flujo_dsc, coalesce(nullif(productos_dsc, ''), 'SIN PRODUCTO') AS productos_dsc, coalesce(nullif(objetivos_dsc, ''), 'SIN OBJETIVO') AS objetivo_dsc, * EXCLUDE (canal_dsc, flujo_dsc, productos_dsc) FROM src)"
+PLAIN = replace(BASE, log_scale=False)
+_LINEAR = f"{_windowed(BASE)}, {_statistics('disc')}".replace("log10(greatest(valor_mes, 1e-9)) AS y", "valor_mes AS y").replace("pow(10.0, ", "(")
+_WRITTEN = "CAST(CAST(cantidad_pedida AS BIGINT) AS VARCHAR) || ' pcs'"
+
+
+def _written_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide source with quantities as text, some of which are no numbers."""
+    bad = (F.col("cantidad_pedida") == 13) & (F.col("descuento") == 4)
+    whole = F.col("cantidad_pedida").cast("bigint").cast("string")
+    return wide_source(spark, sf).withColumn("cantidad_pedida", F.when(bad, F.concat(whole, F.lit(" pcs"))).otherwise(F.col("cantidad_pedida").cast("string")))
 
 
 def _bands_of_stored(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,7 +363,16 @@ CATALOGUE: list[tuple[str, Query, str]] = [
     ("sink_replaced_23", lambda spark, sf: _rounded(_replaced(spark, sf).select(*reports.FENCE_COLUMNS)), _sql(_FENCED, reports.FENCE_COLUMNS, "report")),
     ("sink_accumulated_38", lambda spark, sf: _rounded(spark.table(_accumulated(spark, sf)[0]).select(*reports.CLUSTER_COLUMNS)), _both_months(reports.CLUSTER_COLUMNS, True)),
     ("sink_detail_43", lambda spark, sf: _rounded(spark.table(_accumulated(spark, sf)[1]).select(*reports.DETAIL_COLUMNS)), _both_months(reports.DETAIL_COLUMNS, False)),
-    ("sink_layout", _sink_layout, "SELECT FALSE AS existed, TRUE AS exists, 'created' AS first, 'updated' AS second, 'codmes_val,ventana_meses' AS partitions, 'codmes_val,ventana_meses' AS last_columns"),
+    ("sink_layout", _sink_layout, f"WITH {_FENCED} SELECT codmes_val, ventana_meses, count(*) AS n, FALSE AS existed, TRUE AS exists, 'created' AS first, 'updated' AS second, 'codmes_val,ventana_meses' AS partitions, 'codmes_val,ventana_meses' AS last_columns FROM report GROUP BY ALL"),
+    ("maintained_daily", lambda spark, sf: _rounded(daily_store.days(spark, _maintained(spark, sf), BASE, in_window=False)), _sql(f"{SRC}, {_long(BASE, False)}, {DAILY}", (*BASE.cell, "fecha_dt", "cantidad_dia"), "days")),
+    ("maintained_report_23", lambda spark, sf: _rounded(pipelines.fence_outliers(None, BASE, pipelines.stored_series(spark, _maintained(spark, sf), BASE))), _sql(_FENCED, reports.FENCE_COLUMNS, "report")),
+    _source("grouped_detail_43", reports.DETAIL_COLUMNS, lambda s: reports.layout(grouped.decide(pipelines.monthly_series(s, CLUSTER), CLUSTER), CLUSTER, reports.DETAIL_COLUMNS), _DECIDED, "detail"),
+    ("bands_of_two_months", _bands_of_two_months, " UNION ALL ".join(f"(SELECT * FROM ({_sql(prefix, ('codmes_val', *KEY, 'valor_mes'), 'detail WHERE NOT es_outlier')}))" for prefix in (_decisions(EARLIER), _DECIDED))),
+    ("migrated_history", _migrated, _both_months(reports.CLUSTER_COLUMNS, True)),
+    ("merged_series_counts", _merged_counts, f"SELECT codmes_val, count(*) AS n_outliers, {_COMBOS} AS combinaciones_afectadas FROM ({_both_months(reports.CLUSTER_COLUMNS, True)}) GROUP BY ALL"),
+    ("quarantined_values", lambda spark, sf: facts.parsed(_written_source(spark, sf), BASE)[1], f"WITH {SRC}, {_DIMS} SELECT 'ORDERED' AS metrica, {DIMS}, strftime(fecha_pedido, '%Y-%m-%d %H:%M:%S') AS fecha, {_WRITTEN} AS valor, 'valor' AS motivo FROM dims WHERE fecha_pedido IS NOT NULL AND {_BAD}"),
+    ("daily_without_quarantined", lambda spark, sf: _rounded(rollup.daily(facts.long_facts(facts.parsed(_written_source(spark, sf), BASE)[0], BASE, in_window=False), BASE)), _sql(f"{SRC.replace('src AS', 'every AS')}, src AS (SELECT * REPLACE (CASE WHEN {_BAD} THEN NULL ELSE cantidad_pedida END AS cantidad_pedida) FROM every), {_long(BASE, False)}, {DAILY}", (*BASE.cell, "fecha_dt", "cantidad_dia"), "days")),
+    _source("linear_scale", (*KEY, "li_y", "ls_y", "limite_inf", "limite_sup", "es_outlier", "tipo"), lambda s: pipelines.fence_detail(s, PLAIN), _LINEAR, "fence"),
 ]
 
 

@@ -29,6 +29,34 @@ def in_range(metric: Metric, config: DetectorConfig) -> Column:
     return (day >= F.lit(first)) & (day < F.lit(after))
 
 
+def parsed(source: DataFrame, config: DetectorConfig) -> tuple[DataFrame, DataFrame]:
+    """The source with dates and values of text columns read, and what could not be read.
+
+    One unreadable value would end a run; here it costs its metric's entry of its
+    row alone.  The second frame has a row for each: metrica, the dimensions, fecha
+    and valor as they were written, motivo (what is unreadable).  Columns that are
+    dates and numbers already stay as they are, and conditions on them still reach
+    the reader.
+    """
+    kinds = {f.name.lower(): f.dataType.typeName() for f in source.schema}
+    text = lambda c: kinds[c.lower()] in ("string", "varchar", "char")
+    columns, rejected = {}, []
+    # columns that several metrics share are read once
+    for c in {m.date_col for m in config.metrics if text(m.date_col)}:
+        columns[c] = F.col(c).try_cast("timestamp")
+    for c in {m.value_col for m in config.metrics if text(m.value_col)}:
+        columns[c] = F.col(c).try_cast("double")
+    for m in config.metrics:
+        bad = [F.when(F.col(c).isNotNull() & columns[c].isNull(), F.lit(what)) for c, what in ((m.date_col, "fecha"), (m.value_col, "valor")) if c in columns]
+        if bad:
+            why = F.concat_ws(",", *bad)
+            rejected.append(F.when(why != "", F.struct(F.lit(m.name).alias("metrica"), F.col(m.date_col).cast("string").alias("fecha"), F.col(m.value_col).cast("string").alias("valor"), why.alias("motivo"))))
+    dims = [or_default(column, default).alias(name) for name, column, default in config.dimensions]
+    kind = "array<struct<metrica:string,fecha:string,valor:string,motivo:string>>"
+    quarantined = source.select(*dims, F.explode(F.array(*rejected) if rejected else F.array().cast(kind)).alias("_r")).where("_r is not null")
+    return source.withColumns(columns) if columns else source, quarantined.select("_r.metrica", *[name for name, _, _ in config.dimensions], "_r.fecha", "_r.valor", "_r.motivo")
+
+
 def long_facts(source: DataFrame, config: DetectorConfig, in_window: bool = True) -> DataFrame:
     """Columns metrica, fecha_dt, the dimensions and cantidad; one scan for all metrics.
 
@@ -41,5 +69,5 @@ def long_facts(source: DataFrame, config: DetectorConfig, in_window: bool = True
         for m, ok in zip(config.metrics, keep, strict=True)
     ]
     dims = [or_default(column, default).alias(name) for name, column, default in config.dimensions]
-    rows = source.where(reduce(lambda a, b: a | b, keep)).select(*dims, F.explode(F.array_compact(F.array(*entries))).alias("_m"))
+    rows = source.where(reduce(lambda a, b: a | b, keep)).select(*dims, F.explode(F.array(*entries)).alias("_m")).where("_m is not null")
     return rows.select("_m.metrica", "_m.fecha_dt", *[name for name, _, _ in config.dimensions], "_m.cantidad")

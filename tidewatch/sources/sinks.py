@@ -1,14 +1,12 @@
-"""Partitioned Parquet tables: replaced as a whole, or accumulated month by month."""
+"""Partitioned Parquet tables: replaced as a whole, or accumulated month by month, in one step each."""
 
 from __future__ import annotations
 
-import functools
-import operator
-import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tidewatch.sources import versions
 
 PARTITIONS = ("codmes_val", "ventana_meses")
 
@@ -19,61 +17,83 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     """Partition columns of a table, in order."""
+    if versions.is_published(spark, table):
+        return versions.partition_columns(spark, table)
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def partitions_last(frame: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The same columns, partition columns at the end, as positional inserts need them."""
+    """The same columns, partition columns at the end."""
     named = {p.lower() for p in partitions}
     return frame.select(*[c for c in frame.columns if c.lower() not in named], *partitions)
 
 
-def _create(frame: DataFrame, table: str, path: str | None, partitions: Sequence[str]) -> None:
-    writer = frame.write.mode("overwrite").format("parquet").partitionBy(*partitions)
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+def _retired(spark: SparkSession, table: str) -> str:
+    """Gives a plain table another name, under which it stays until somebody drops it."""
+    n = 0
+    while spark.catalog.tableExists(f"{table}__before_{n}"):
+        n += 1
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table.rsplit('.', 1)[-1]}__before_{n}" if "." not in table else f"ALTER TABLE {table} RENAME TO {table}__before_{n}")
+    return f"{table}__before_{n}"
 
 
-def replace_table(frame: DataFrame, table: str, path: str | None = None, partitions: Sequence[str] = ("ventana_meses",), order: Sequence[str] = ()) -> None:
-    """Replaces ``table``; rows are sorted within files, no global sort."""
-    frame.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    _create(frame.sortWithinPartitions(*order) if order else frame, table, path, partitions)
+def replace_table(frame: DataFrame, table: str, path: str | None = None, partitions: Sequence[str] = ("ventana_meses",), order: Sequence[str] = (), buckets: int = 0, by: Sequence[str] = ()) -> None:
+    """Replaces the rows of ``table``; rows are sorted within files, no global sort.
 
+    The old rows can be read until the new ones are whole.  A plain table of that
+    name is kept under another one.
+    """
+    spark = frame.sparkSession
+    if versions.is_published(spark, table) and partition_columns(spark, table) != list(partitions):
+        raise ValueError(f"{table} is partitioned by {partition_columns(spark, table)}, not by {list(partitions)}; drop_table it first")
+    versions.sweep(spark, table)
+    version, found = versions.write(partitions_last(frame, partitions), table, path, partitions, order, buckets, by)
+    if table_exists(spark, table) and not versions.is_published(spark, table):
+        _retired(spark, table)
+    versions.switch(spark, table, dict.fromkeys(found, version))
 
-def accumulate(frame: DataFrame, table: str, targets: Iterable[Sequence[int]], path: str | None = None, partitions: Sequence[str] = PARTITIONS, migrate: bool = False, order: Sequence[str] = ()) -> str:
+
+def accumulate(frame: DataFrame, table: str, targets: Iterable[Sequence[int]], path: str | None = None, partitions: Sequence[str] = PARTITIONS, migrate: bool = False, order: Sequence[str] = (), buckets: int = 0, by: Sequence[str] = ()) -> str:
     """Writes the partitions of one run, keeps all others; returns what was done.
 
     ``targets`` are the partitions that the run stands for, (month, window) each.
     Those that ``frame`` has no rows for are emptied, so a second run with fewer
-    rows or windows leaves nothing stale.  Each partition is overwritten by name,
-    which no session setting changes and which leaves all others alone.  A table
-    with another layout is only recreated, losing its rows, when ``migrate`` says
-    so.  Rows are sorted by ``order`` within files.
+    rows or windows leaves nothing stale.  All partitions of the run are written by
+    one job and take the place of the old ones in one step: a run that fails leaves
+    the table as it was.  A plain table with another layout is only taken over when
+    ``migrate`` says so: its rows are written in the new layout first, and it stays
+    under another name.
     """
-    spark = frame.sparkSession
-    placed = partitions_last(frame.sortWithinPartitions(*order) if order else frame, partitions)
-    if not table_exists(spark, table):
-        _create(placed, table, path, partitions)
-        return "created"
-    if [c.lower() for c in partition_columns(spark, table)] != [p.lower() for p in partitions]:
-        if not migrate:
-            raise ValueError(f"{table} is partitioned by {partition_columns(spark, table)}, not by {list(partitions)}; pass migrate=True to recreate it")
-        replace_table(frame, table, path, partitions, order)
-        return "migrated"
-    # a row per partition of the run
-    found = {tuple(r) for r in frame.select(*partitions).distinct().collect()}
-    for values in sorted({*map(tuple, targets), *found}):
-        _overwrite_partition(frame, table, dict(zip(partitions, values, strict=True)), order)
-    return "updated"
-
-
-def _overwrite_partition(frame: DataFrame, table: str, values: dict[str, int], order: Sequence[str]) -> None:
-    """Puts the rows of one partition in the place of what it holds, even if there are none."""
-    spark, columns = frame.sparkSession, [c for c in frame.columns if c.lower() not in {p.lower() for p in values}]
-    hit = functools.reduce(operator.and_, (F.col(p) == v for p, v in values.items()))
-    rows = frame.where(hit)
-    view = f"partition_{uuid.uuid4().hex}"
-    (rows.sortWithinPartitions(*order) if order else rows).select(*columns).createOrReplaceTempView(view)
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(f'{p} = {v!r}' for p, v in values.items())}) SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
+    spark, moved = frame.sparkSession, {}
+    there, ours = table_exists(spark, table), versions.is_published(spark, table)
+    if there and [c.lower() for c in partition_columns(spark, table)] != [p.lower() for p in partitions] and (ours or not migrate):
+        raise ValueError(f"{table} is partitioned by {partition_columns(spark, table)}, not by {list(partitions)}; pass migrate=True to take a plain table over")
+    versions.sweep(spark, table)
+    if there and not ours:
+        moved = _take_over(frame, table, path, partitions, order, buckets, by)
+    version, found = versions.write(partitions_last(frame, partitions), table, path, partitions, order, buckets, by)
+    if there and not ours:
+        _retired(spark, table)
+    now = {**(moved or versions.live(spark, table))}
+    for values in map(tuple, targets):
+        now.pop(values, None)
+    versions.switch(spark, table, now | dict.fromkeys(found, version))
+    return "updated" if ours else "migrated" if there else "created"
+
+
+def _take_over(frame: DataFrame, table: str, path: str | None, partitions: Sequence[str], order: Sequence[str], buckets: int, by: Sequence[str]) -> dict[versions.Values, str]:
+    """Writes the rows of a plain table in the new layout; the live versions that they make."""
+    old = frame.sparkSession.table(table)
+    lacking = {c.lower() for c in frame.columns} - {c.lower() for c in old.columns}
+    if lacking:
+        raise ValueError(f"{table} cannot be taken over, it lacks {sorted(lacking)}")
+    version, found = versions.write(partitions_last(old.select(*frame.columns), partitions), table, path, partitions, order, buckets, by)
+    return dict.fromkeys(found, version)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Removes a table with its rows."""
+    if versions.is_published(spark, table):
+        versions.drop(spark, table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
