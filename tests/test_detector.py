@@ -282,8 +282,8 @@ def test_summaries_come_in_order(spark, results):
     assert [r.codmes_val for r in reports.stored_months(rows).collect()] == sorted(202701 - i for i in range(4))
 
 
-@pytest.mark.parametrize("kind", ["fences", "clusters"])
-def test_command_line(spark, capsys, kind):
+@pytest.mark.parametrize(("kind", "stored"), [("fences", False), ("clusters", False), ("clusters", True)])
+def test_command_line(spark, capsys, kind, stored):
     rng, rows = np.random.default_rng(5), []
     for back in range(1, 13):
         at = 2026 * 12 + 6 - 1 - back
@@ -292,8 +292,13 @@ def test_command_line(spark, capsys, kind):
     source = spark.createDataFrame(rows, "d date, v double, canal_dsc string, flujo_dsc string, productos_dsc string, objetivos_dsc string").drop_duplicates()
     source.createOrReplaceTempView("wide")
     table = f"cli_{kind}"
-    given = cli.arguments([kind, "--source", "wide", "--table", table, "--windows", "12", *(["--detail", f"{table}_all"] if kind == "clusters" else [])])
-    cli.run(spark, given, today=date(2026, 7, 3), metrics=(Metric("ENVIOS", "d", "v"),), min_months=1)
+    metrics = (Metric("ENVIOS", "d", "v"),)
+    if stored:
+        for said in ("202506, 202507", "none"):
+            cli.run(spark, cli.arguments(["daily", "--source", "wide", "--daily", "cli_daily", "--batch", "one"]), today=date(2026, 7, 3), metrics=metrics)
+            assert f"Months written anew: {said}" in capsys.readouterr().out
+    given = cli.arguments([kind, *(["--daily", "cli_daily"] if stored else ["--source", "wide"]), "--table", table, "--windows", "12", "--list", "3", *(["--detail", f"{table}_all"] if kind == "clusters" else [])])
+    cli.run(spark, given, today=date(2026, 7, 3), metrics=metrics, min_months=1)
     said = capsys.readouterr().out
     assert "Flagged months by window" in said and table in said
     if kind == "clusters":
@@ -303,3 +308,7 @@ def test_command_line(spark, capsys, kind):
     flagged = spark.table(table).where("tipo = 'BAJO'")
     assert flagged.count() >= 1 and {r.codmes for r in flagged.collect()} == {202603}
     sinks.drop_table(spark, table)
+    sinks.drop_table(spark, "cli_daily")
+    for bad in (["clusters", "--table", "t"], ["daily", "--source", "s"], ["fences", "--source", "s"]):
+        with pytest.raises(SystemExit):
+            cli.arguments(bad)

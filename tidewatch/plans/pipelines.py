@@ -20,17 +20,17 @@ def stored_series(spark: SparkSession, daily_table: str, config: DetectorConfig)
     return rollup.look_back(rollup.monthly(daily_store.days(spark, daily_table, config), config), config)
 
 
-def windowed(source: DataFrame, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
+def windowed(source: DataFrame | None, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
     """Months of each window, on the detection scale; from ``months``, where they are given, instead of ``source``."""
     return fences.on_scale(rollup.explode_windows(monthly_series(source, config) if months is None else months, config), config)
 
 
-def fence_detail(source: DataFrame, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
+def fence_detail(source: DataFrame | None, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
     """Every month with discrete statistics, fences and verdict."""
     return fences.in_units(fences.fences(fences.statistics(windowed(source, config, months), config), config), config)
 
 
-def fence_outliers(source: DataFrame, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
+def fence_outliers(source: DataFrame | None, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
     """Flagged months, base layout."""
     return reports.layout(reports.outliers_only(fence_detail(source, config, months)), config, reports.FENCE_COLUMNS)
 
@@ -41,7 +41,7 @@ def series_segments(months: DataFrame, config: DetectorConfig) -> DataFrame:
     return solver.solve(segments.gather_windows(fences.on_scale(months, config), config), config)
 
 
-def cluster_detail(source: DataFrame, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
+def cluster_detail(source: DataFrame | None, config: DetectorConfig, months: DataFrame | None = None) -> DataFrame:
     """Every month with its cluster, frontiers, limits and verdict."""
     months = monthly_series(source, config) if months is None else months
     if config.solver == "grouped":
@@ -54,13 +54,14 @@ def cluster_outliers(detail: DataFrame, config: DetectorConfig) -> DataFrame:
     return reports.layout(reports.outliers_only(detail), config, reports.CLUSTER_COLUMNS)
 
 
-def run_fences(source: DataFrame, config: DetectorConfig, table: str, path: str | None = None, months: DataFrame | None = None) -> DataFrame:
+def run_fences(source: DataFrame | None, config: DetectorConfig, table: str, path: str | None = None, months: DataFrame | None = None) -> DataFrame:
     """Replaces ``table`` by the flagged months of all windows; returns the summary by window."""
-    sinks.replace_table(fence_outliers(source, config, months), table, path, ("ventana_meses",), reports.ORDER)
-    return reports.summary(source.sparkSession.table(table))
+    flagged = fence_outliers(source, config, months)
+    sinks.replace_table(flagged, table, path, ("ventana_meses",), reports.ORDER)
+    return reports.summary(flagged.sparkSession.table(table))
 
 
-def run_clusters(source: DataFrame, config: DetectorConfig, outlier_table: str, detail_table: str | None = None, outlier_path: str | None = None, detail_path: str | None = None, months: DataFrame | None = None, migrate: bool = False) -> DataFrame:
+def run_clusters(source: DataFrame | None, config: DetectorConfig, outlier_table: str, detail_table: str | None = None, outlier_path: str | None = None, detail_path: str | None = None, months: DataFrame | None = None, migrate: bool = False) -> DataFrame:
     """Accumulates the run's month in both tables; returns the summary by window and method."""
     detail = cluster_detail(source, config, months).persist(StorageLevel.MEMORY_AND_DISK)
     targets = [(config.eval_month, w) for w in config.windows]
@@ -71,5 +72,5 @@ def run_clusters(source: DataFrame, config: DetectorConfig, outlier_table: str,
             sinks.accumulate(reports.layout(detail, config, reports.DETAIL_COLUMNS), detail_table, targets, detail_path, **dealt)
     finally:
         detail.unpersist()
-    spark = source.sparkSession
+    spark = detail.sparkSession
     return reports.summary(spark.table(outlier_table).where(f"codmes_val = {config.eval_month}"), ("ventana_meses", "metodo"))
