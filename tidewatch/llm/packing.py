@@ -19,7 +19,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,12 +92,12 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, sequence: int = SEQUENCE
     start = F.col("_n").cast("long") * sequence
     pieces = pieces.select("_group", key, start.alias("start"), F.least(F.lit(sequence), F.col("doc_tokens") - start).cast("long").alias("length"), "ids_crc32", "doc_tokens", *([F.col("ids")[F.col("_n")].alias("ids")] if with_ids else []))
 
-    def place(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([key, "start", "ids_crc32"], kind="stable", ignore_index=True)
-        bins, offsets = first_fit_decreasing(frame["length"].to_numpy(), sequence)
-        frame["sequence_id"] = (frame["_group"].to_numpy(np.int64) << 32) + bins
-        frame["offset"] = offsets
-        return frame.drop(columns="_group")
+    def place(group: pa.Table) -> pa.Table:
+        # Arrow keeps ids of any size as they are beside null ones
+        group = group.sort_by([(key, "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        bins, offsets = first_fit_decreasing(group.column("length").to_numpy(), sequence)
+        places = (group.column("_group").to_numpy() << 32) + bins
+        return group.drop_columns(["_group"]).append_column("sequence_id", pa.array(places)).append_column("offset", pa.array(offsets))
 
     schema = f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids + ", sequence_id long, offset long"
-    return pieces.groupBy("_group").applyInPandas(place, schema)
+    return pieces.groupBy("_group").applyInArrow(place, schema)

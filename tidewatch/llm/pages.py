@@ -11,7 +11,8 @@ wording, and each block's label known.  They are made anew from a seed; nothing
 is stored.
 
 Edge cases: null and empty pages give an empty text; unclosed, misnested and cut
-markup is read as far as it goes; references that are cut stay as they are;
+markup is read as far as it goes, in time proportional to its length; a quote opens an
+attribute's value only right after the equals sign, and only if it is closed; references that are cut stay as they are;
 pages without main text give an empty string; ids may be null or repeat (rows are
 never merged); an empty table gives none; a column named text is replaced, other
 columns are kept.
@@ -34,8 +35,13 @@ from tidewatch.llm.textblock import blocks
 
 TRAIN_PAGES, SEED = 800, 11
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)|<[!?/][^>]*(?:>|\Z)", re.S)
+#: An attribute: a quote opens a value only right after the equals sign, and only if another one closes it.  Possessive, so nothing is read twice.
+_NAME, _VALUE = r"(=?+[^\s/>=]++|=)", r"(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+"
+_ATTRIBUTE = re.compile(_NAME + _VALUE)
+_TAG_END = re.compile(rf"(?:[\s/]++|{_NAME}{_VALUE})*+>")
+#: Elements within more than so many others take part in no nesting.
+DEPTH = 512
 _CLASS_WORD = re.compile(r"[a-z]+")
 #: Elements whose content no reader sees in the text, and those whose content is text without markup.
 UNSEEN = frozenset("script style textarea title template iframe noembed noframes datalist".split())
@@ -99,6 +105,10 @@ def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
     linked = links = 0
     block_bits = 0
     at, end = 0, len(page)
+    #: Open elements by name, and those that stand too deep for the stack.
+    opened: dict[str, int] = {}
+    deep: dict[str, int] = {}
+    quoted = True
 
     def flush() -> None:
         nonlocal linked
@@ -125,6 +135,7 @@ def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
         nonlocal bits, links
         for tag, _ in stack[to:]:
             links -= tag == "a"
+            opened[tag] -= 1
         del stack[to:]
         bits = stack[-1][1] if stack else 0
 
@@ -139,20 +150,33 @@ def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
         name = found.group(2)
         if name is None:
             continue
+        tag = _TAG_END.match(page, at) if quoted else None
+        stop = tag.end() if tag else page.find(">", at) + 1
+        # a tag that swallows the rest of the page ends at the next sign that could end it, as do all after it
+        quoted = tag is not None and quoted
+        if not stop:
+            # no tag ends any more: what follows is text, but for a last tag that is cut
+            last = page.rfind("<")
+            cut = last if page[last + 1 : last + 2].isalpha() or page[last + 1 : last + 2] in ("/", "!", "?") else end
+            add(page[found.start() : cut])
+            break
+        attributes, at = page[at : stop - 1], stop
         name = name.lower()
         if found.group(1):
             if name in BLOCK:
                 flush()
             if name == "br":
                 add(" ")
-            for i in range(len(stack) - 1, -1, -1):
+            if deep.get(name):
+                deep[name] -= 1
+                continue
+            for i in range(len(stack) - 1, -1, -1) if opened.get(name) else ():
                 if stack[i][0] == name:
                     close(i)
                     break
                 if name not in BLOCK and stack[i][0] in BLOCK and name != "a":
                     break
             continue
-        attributes = found.group(3)
         if name in UNSEEN or name in PLAIN:
             stop = _closing(name).search(page, at)
             if name in PLAIN:
@@ -173,21 +197,25 @@ def leaf_blocks(page: str) -> list[tuple[str, int, int, int]]:
         if name in BLOCK:
             flush()
             # a paragraph ends where another block begins
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened.get("p") else ():
                 if stack[i][0] == "p":
                     close(i)
                     break
                 if stack[i][0] in BLOCK:
                     break
-            if name in CLOSES:
+            if any(opened.get(t) for t in CLOSES.get(name, ())):
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in CLOSES[name]:
                         close(i)
                         break
                     if stack[i][0] in _SCOPE and not (name in ("td", "th") and stack[i][0] == "tr"):
                         break
+        if len(stack) >= DEPTH:
+            deep[name] = deep.get(name, 0) + 1
+            continue
         bits |= _own_bits(name, attributes)
         stack.append((name, bits))
+        opened[name] = opened.get(name, 0) + 1
         links += name == "a"
     flush()
     return out
