@@ -291,8 +291,17 @@ def _compared_in_bands(bodies: DataFrame, length: int, partitions: int, scratch:
     return functools.reduce(DataFrame.unionByName, ranges) if ranges else big.select("seg", "lo", F.col("lo").alias("hi")).limit(0)
 
 
-def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """Per content: c1, c2, n_removed, n_spans, kept (the remaining bytes)."""
+def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone``, with all bytes of every character of which some are gone."""
+    if not data.size:
+        return gone
+    first = (data & 0xC0) != 0x80
+    first[0] = True
+    return np.logical_or.reduceat(gone, np.flatnonzero(first))[np.cumsum(first) - 1]
+
+
+def _cut(texts: DataFrame, length: int, gram: int, whole_chars: bool = False) -> DataFrame:
+    """Per content: c1, c2, n_removed, n_spans, kept (the remaining bytes, with ``whole_chars`` those of characters that are left whole)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", LOOK_BYTES):
@@ -325,6 +334,7 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
             edge = off[:-1][off[:-1] < data.size]
             begins[edge] = gone[edge]
             n_gone, n_begin = np.append(0, np.cumsum(gone)), np.append(0, np.cumsum(begins))
+            gone = whole_characters(data, gone) if whole_chars else gone
             kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
             cols = [block.column("c1"), block.column("c2"), pa.array(n_gone[off[1:]] - n_gone[off[:-1]]), pa.array(n_begin[off[1:]] - n_begin[off[:-1]]), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["c1", "c2", "n_removed", "n_spans", "kept"])
@@ -332,7 +342,7 @@ def _cut(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("c1", "c2", "text", "marks", "ranges").mapInArrow(run, "c1 long, c2 long, n_removed long, n_spans long, kept binary")
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", key: str = "doc_id", scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", key: str = "doc_id", scratch: Scratch | None = None, whole_chars: bool = False) -> tuple[DataFrame, DataFrame]:
     """``rows`` (doc_id, n_bytes, c1, c2, whole_sha256, one per row of ``docs``) and ``cuts`` (c1, c2, n_removed, n_spans, kept; one per content that loses bytes)."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "repeats")
@@ -359,7 +369,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
     ranges = found.unionByName(scratch.keep(in_bands, "found-in-bands"))
     ranges = ranges.join(by_segment.where("n = 1").select("seg", "rid"), "seg").groupBy("rid").agg(F.collect_list(F.struct("seg", "lo", "hi")).alias("ranges"))
     none = F.array().cast("array<struct<seg:long,lo:long,hi:long>>")
-    cuts = _cut(texts.join(ranges, "rid", "left").withColumn("ranges", F.coalesce("ranges", none)), length, gram)
+    cuts = _cut(texts.join(ranges, "rid", "left").withColumn("ranges", F.coalesce("ranges", none)), length, gram, whole_chars)
     cuts = scratch.keep(cuts.where("n_removed > 0").dropDuplicates(["c1", "c2"]), "cuts")
     return table.select("doc_id", "n_bytes", "c1", "c2", "whole_sha256"), cuts
 
@@ -373,11 +383,10 @@ def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``text`` cut; bytes of a character that was cut in part go too."""
-    _, cuts = repeats(docs, length, gram, text, key)
+    """``docs`` with ``text`` cut; bytes of a character that was cut in part go too, and no other character."""
+    _, cuts = repeats(docs, length, gram, text, key, whole_chars=True)
     c1, c2 = _digest_columns(text)
     digest = docs.withColumns({"_c1": c1, "_c2": c2})
-    kept = F.col("kept").cast("string")
-    cuts = cuts.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.coalesce(F.try_validate_utf8(kept), F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))).alias("_left"))
+    cuts = cuts.select(F.col("c1").alias("_c1"), F.col("c2").alias("_c2"), F.col("kept").cast("string").alias("_left"))
     joined = digest.join(cuts, ["_c1", "_c2"], "left")
     return joined.withColumn(text, F.coalesce("_left", F.col(text))).select(*docs.columns)
