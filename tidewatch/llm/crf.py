@@ -1,7 +1,7 @@
 """Linear-chain conditional random fields with two labels, in numpy.
 
-Training maximises the conditional likelihood of padded label sequences by
-gradient steps (forward-backward over all sequences at once); decoding is exact
+Training maximises the conditional likelihood of whole label sequences by gradient
+steps (forward-backward over all sequences at once, position by position); decoding is exact
 Viterbi over all sequences of a block at once, one step per position.
 """
 
@@ -24,43 +24,35 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 80, rate: float = 0.15, penalty: float = 1e-3, window: int = 64) -> Model:
-    """Fits a model; sequences longer than ``window`` are cut into several."""
-    xs, ys = [], []
-    for x, y in zip(features, labels, strict=True):
-        for at in range(0, len(y), window):
-            xs.append(x[at : at + window])
-            ys.append(y[at : at + window])
-    if not xs:
-        return Model(np.zeros((features[0].shape[1] if features else 1, 2)), np.zeros((2, 2)), np.zeros(2))
-    size = np.array([len(y) for y in ys])
-    n, t, d = len(xs), int(size.max()), xs[0].shape[1]
-    x = np.zeros((n, t, d))
-    y = np.zeros((n, t), np.int64)
-    live = np.arange(t)[None, :] < size[:, None]
-    for i, (a, b) in enumerate(zip(xs, ys, strict=True)):
-        x[i, : len(b)], y[i, : len(b)] = a, b
-    hot = np.eye(2)[y] * live[:, :, None]
-    w, tr, st = np.zeros((d, 2)), np.zeros((2, 2)), np.zeros(2)
-    want_w = np.einsum("ntd,ntk->dk", x, hot)
-    want_t = np.einsum("nti,ntj->ij", hot[:, :-1], hot[:, 1:])
-    want_s = hot[:, 0].sum(axis=0)
-    total = live.sum()
+def train(features: list[np.ndarray], labels: list[np.ndarray], steps: int = 80, rate: float = 0.15, penalty: float = 1e-3, begin: Model | None = None) -> Model:
+    """Fits a model to whole sequences, from zero or from ``begin``; time and memory grow with the number of rows."""
+    some = sorted((i for i, y in enumerate(labels) if len(y)), key=lambda i: -len(labels[i]))
+    d = features[0].shape[1] if features else 1
+    w, tr, st = (m.copy() for m in (begin.weights, begin.transition, begin.start)) if begin else (np.zeros((d, 2)), np.zeros((2, 2)), np.zeros(2))
+    if not some:
+        return Model(w, tr, st)
+    x, y = np.concatenate([features[i] for i in some]).astype(np.float64), np.concatenate([labels[i] for i in some])
+    size = np.array([len(labels[i]) for i in some])
+    first, n, total = np.cumsum(size) - size, len(some), len(y)
+    # rows by position: the longest sequences come first, so those that go on are a prefix
+    active = [int(k) for k in np.searchsorted(-size, -np.arange(size[0]), "left")]
+    rows = [first[:k] + t for t, k in enumerate(active)]
+    later = np.setdiff1d(np.arange(total), first, assume_unique=True)
+    hot = np.eye(2)[y]
+    want_w, want_t, want_s = x.T @ hot, hot[later - 1].T @ hot[later], hot[first].sum(axis=0)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, tr, st)]
     for step in range(1, steps + 1):
         e = x @ w
-        forward, backward = np.zeros((n, t, 2)), np.zeros((n, t, 2))
-        forward[:, 0] = e[:, 0] + st
-        for i in range(1, t):
-            f = _logsum(forward[:, i - 1, :, None] + tr[None], 1) + e[:, i]
-            forward[:, i] = np.where(live[:, i, None], f, forward[:, i - 1])
-        for i in range(t - 2, -1, -1):
-            b = _logsum(tr[None] + (e[:, i + 1] + backward[:, i + 1])[:, None, :], 2)
-            backward[:, i] = np.where(live[:, i + 1, None], b, 0.0)
-        norm = _logsum(forward[:, -1], 1)
-        node = np.exp(forward + backward - norm[:, None, None]) * live[:, :, None]
-        pair = np.exp(forward[:, :-1, :, None] + tr + (e + backward)[:, 1:, None, :] - norm[:, None, None, None]) * live[:, 1:, None, None]
-        grads = (np.einsum("ntd,ntk->dk", x, node) - want_w) / total + penalty * w, (pair.sum(axis=(0, 1)) - want_t) / total + penalty * tr, (node[:, 0].sum(axis=0) - want_s) / n + penalty * st
+        forward, backward = np.empty((total, 2)), np.zeros((total, 2))
+        forward[rows[0]] = e[rows[0]] + st
+        for t in range(1, len(rows)):
+            forward[rows[t]] = _logsum(forward[rows[t] - 1][:, :, None] + tr, 1) + e[rows[t]]
+        for t in range(len(rows) - 1, 0, -1):
+            backward[rows[t] - 1] = _logsum(tr + (e[rows[t]] + backward[rows[t]])[:, None, :], 2)
+        norm = np.repeat(_logsum(forward[first + size - 1], 1), size)
+        node = np.exp(forward + backward - norm[:, None])
+        pair = np.exp(forward[later - 1][:, :, None] + tr + (e[later] + backward[later])[:, None, :] - norm[later][:, None, None])
+        grads = (x.T @ node - want_w) / total + penalty * w, (pair.sum(axis=0) - want_t) / total + penalty * tr, (node[first].sum(axis=0) - want_s) / n + penalty * st
         for p, g, (m, v) in zip((w, tr, st), grads, state, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)

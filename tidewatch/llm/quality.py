@@ -1,15 +1,24 @@
 """Quality rules: a conditional random field labels lines as content or boilerplate.
 
 Each line of a text has features of its characters, words and repetition; the
-field is trained on a bounded sample of labelled documents (at most ``TRAIN_ROWS``,
-whole; every line takes its document's quality label) and decoded by Viterbi over each document's lines.  A
-document stays if the base rules pass and enough of its words are in content
-lines.
+field is trained on a bounded sample of labelled documents and decoded by Viterbi
+over each document's lines.  A document stays if the base rules pass and enough of
+its words are in content lines.
+
+Labels are those of documents, not of lines, so the kinds of lines are learnt by
+expectation and maximisation: a first field takes every line for what its document
+is; then, for a few rounds, each line of the sample is taken for what its own
+features say under the field before (a document of low quality keeps at least its
+likeliest line of boilerplate), and a field is trained on those sequences.  So a
+text may hold both kinds, and transitions are learnt from where one ends.
+
+The sample holds at most ``TRAIN_ROWS`` documents, one row for each id (the text of
+least hash, where an id repeats), of at most ``TRAIN_LINES`` lines each: the driver
+gets at most the product of those, each line as ``len(FEATURES)`` numbers.
 
 Edge cases: null or blank texts have no words and fail the base rules; without
 labelled rows no line is boilerplate, so the base rules decide; ``doc_id`` may
-be null or repeat (in training, labels of a repeated id apply to all its rows);
-other columns are ignored.
+be null or repeat; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +33,10 @@ from pyspark.sql import functions as F
 from tidewatch.llm import crf
 from tidewatch.llm.textblock import blocks, gram_hashes, mix, span_hashes, text_bytes, word_spans
 
-#: Labelled documents that the field is trained on at most, with all their lines.
-TRAIN_ROWS = 2000
+#: Labelled documents that the field is trained on at most, and lines of each.
+TRAIN_ROWS, TRAIN_LINES = 2000, 500
+#: Rounds of relabelling, and gradient steps of each (the first field takes all of :func:`tidewatch.llm.crf.train`).
+ROUNDS, STEPS = 2, 30
 #: Least share of words in content lines.
 CONTENT_SHARE = 0.5
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -138,9 +149,40 @@ def measure(data: np.ndarray, off: np.ndarray) -> tuple[dict[str, np.ndarray], n
     return base, features, n_words, lines
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", key: str = "doc_id") -> crf.Model:
-    """A field trained on the ``rows`` labelled documents whose ids hash lowest."""
+def chosen_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, lines: int = TRAIN_LINES, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, text and quality of the labelled documents whose ids hash lowest, at most ``rows``; one row for each id."""
     chosen = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull()).groupBy(key).agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64(key), key).limit(rows)
+    # at most ``rows`` ids: a proven bound; copies of an id are put together before they are exchanged
+    short = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) < lines
+    return docs.select(key, text).where(short).join(F.broadcast(chosen), key).groupBy(key).agg(F.min_by(text, F.xxhash64(text)).alias(text), F.min("quality").alias("quality"))
+
+
+def lines_by_evidence(model: crf.Model, xs: list[np.ndarray], low: list[int]) -> list[np.ndarray]:
+    """What each line is by its own features; a document of low quality has one line of boilerplate at least."""
+    out = []
+    for x, bad in zip(xs, low, strict=True):
+        lean = x @ (model.weights[:, 1] - model.weights[:, 0])
+        own = (lean > 0).astype(np.int64)
+        if bad and len(own) and not own.any():
+            own[lean.argmax()] = 1
+        out.append(own)
+    return out
+
+
+def fit(xs: list[np.ndarray], low: list[int], rounds: int = ROUNDS) -> crf.Model:
+    """A field from the lines' features and the documents' labels (1: low quality)."""
+    ys = [np.full(len(x), bad) for x, bad in zip(xs, low, strict=True)]
+    model = crf.train(xs, ys)
+    for _ in range(rounds):
+        now = lines_by_evidence(model, xs, low)
+        if all(map(np.array_equal, now, ys)):
+            break
+        ys, model = now, crf.train(xs, now, steps=STEPS, begin=model)
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, lines: int = TRAIN_LINES, text: str = "text", key: str = "doc_id") -> crf.Model:
+    """A field trained on :func:`chosen_rows`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, text):
@@ -149,20 +191,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str
             ends = pa.array((lines * len(FEATURES)).astype(np.int64))
             yield pa.RecordBatch.from_arrays([block.column("quality"), pa.LargeListArray.from_arrays(ends, pa.array(flat)).cast(pa.list_(pa.float32()))], ["quality", "x"])
 
-    # at most ``rows`` ids: a proven bound
-    sample = docs.select(key, text).join(F.broadcast(chosen), key).mapInArrow(run, "quality int, x array<float>").toArrow()
+    sample = chosen_rows(docs, labels, rows, lines, text, key).mapInArrow(run, "quality int, x array<float>").toArrow()
     if not sample.num_rows:
         return crf.Model(np.zeros((len(FEATURES), 2)), np.zeros((2, 2)), np.array([1.0, 0.0]))
-    xs, ys = [], []
+    xs, low = [], []
     for batch in sample.to_batches():
         lists = batch.column("x")
         at, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.float64)
         for a, b, q in zip(at[:-1].tolist(), at[1:].tolist(), batch.column("quality").to_pylist(), strict=True):
             xs.append(flat[a:b].reshape(-1, len(FEATURES)))
-            ys.append(np.full(len(xs[-1]), 1 - q))
+            low.append(1 - q)
     # the order of arrival decides nothing
-    order = sorted(range(len(xs)), key=lambda i: (len(xs[i]), xs[i].tobytes(), int(ys[i][0])))
-    return crf.train([xs[i] for i in order], [ys[i] for i in order])
+    order = sorted(range(len(xs)), key=lambda i: (len(xs[i]), xs[i].tobytes(), low[i]))
+    return fit([xs[i] for i in order], [low[i] for i in order])
 
 
 def judge(docs: DataFrame, model: crf.Model, text: str = "text", key: str = "doc_id") -> DataFrame:

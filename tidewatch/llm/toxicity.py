@@ -403,11 +403,16 @@ def remainder(key: str) -> F.Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5
 
 
+def chosen_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, text and toxic of the labelled documents outside the held-out fifth whose ids hash lowest, at most ``rows``; one row for each id, the text of least hash."""
+    chosen = labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & (remainder(key) != 0)).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64(key), key).limit(rows)
+    # at most ``rows`` ids: a proven bound; copies of an id are put together before they are exchanged
+    return docs.select(key, text).join(F.broadcast(chosen), key).groupBy(key).agg(F.min_by(text, F.xxhash64(text)).alias(text), F.max("toxic").alias("toxic"))
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, text: str = "text", key: str = "doc_id") -> Model:
     decoder = Deobfuscator(count_characters(docs, text))
-    chosen = labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & (remainder(key) != 0)).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64(key), key).limit(rows)
-    # at most ``rows`` ids: a proven bound
-    sample = docs.select(key, text).join(F.broadcast(chosen), key).select(text, "toxic", (remainder(key) <= 2).alias("counted"))
+    sample = chosen_rows(docs, labels, rows, text, key).select(text, "toxic", (remainder(key) <= 2).alias("counted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, (1 << BUCKET_BITS) + 1), np.int64)
