@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import table
 
-from tidewatch.llm import packing, pages, quality, repeats, toxicity
+from tidewatch.llm import mtree, packing, pages, quality, repeats, toxicity
 
 
 def texts_of(page):
@@ -121,3 +121,34 @@ def test_a_text_may_hold_both_kinds_of_lines(spark):
         assert out[1000 + i].content_share == pytest.approx(want, abs=0.05), i
         assert out[1000 + i].kept == (want >= 0.5 and not out[1000 + i].base_failed)
     assert sum(0 < r.content_share < 1 for r in out.values()) > 40
+
+
+def test_products_beyond_a_score_are_an_error(spark):
+    rows = spark.createDataFrame([(0, [1e20, 0.0]), (50, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit"):
+        mtree.top_k(rows, rows).collect()
+    # large ones that fit are exact
+    rows = spark.createDataFrame([(0, [2.0**20, 0.0]), (50, [2.0**19 + 1, 2.0])], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in mtree.top_k(rows, rows).collect()}
+    assert got == {(0, 50): 2**28 * (2**27 + 256), (50, 0): 2**28 * (2**27 + 256)}
+
+
+def test_blocks_and_trees_of_many_lists_are_exact(spark, monkeypatch):
+    """Several lists of small trees and small blocks, in separated groups, of two sizes: all pairs say the same, and trees are left out."""
+    monkeypatch.setattr(mtree, "TREE_LIST", 3)
+    monkeypatch.setattr(mtree, "TREE_ROWS", 40)
+    monkeypatch.setattr(mtree, "BLOCK_QUERIES", 7)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(900):
+        group, size = i // 90, 6 if i % 90 < 80 else 3
+        rows.append((i, (rng.normal(size=size) * 0.05 + np.eye(10)[group][:size] * 3 + 0.1).tolist()))
+    frame, products = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(2), []
+    out = mtree.top_k(frame, frame.where("vec_id % 5 = 0"), products=products).collect()
+    whole = {i: np.floor(256 * np.array(v)).astype(np.int64) for i, v in rows}
+    want = []
+    for q in range(0, 900, 5):
+        found = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q and v.size == whole[q].size)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == want
+    assert 0 < products[0] < 180 * 800

@@ -13,9 +13,11 @@ bounds are rounded outwards and products are computed exactly, so ties survive.
 Queries travel in blocks of bounded size, and a block is searched for as a whole:
 each query keeps bounds of its own, while products of a page with the queries that
 reach it are one matrix product.  Each block first goes to one tree only,
-which gives every query a k-th score to beat; then to the trees whose root bound
-some query of it can still reach.  A task holds one tree, which is sent once, and
-the blocks stream past it.  Each meeting gives at most k + 1 rows per query, which
+another one for each block, which gives every query a k-th score to beat.  What
+other trees can matter is told from a few numbers first (the block's centre and
+spread, the root's pivot and radius), then by each query, to which end a block is
+sent to a list of roots at once.  A task holds one tree, which is sent once, and
+the blocks that reach it stream past it.  Each meeting gives at most k + 1 rows per query, which
 a ranked window merges.
 
 How much the bounds avoid depends on the vectors: on well-separated groups most
@@ -25,7 +27,9 @@ distances are alike; the result is exact either way.
 Edge cases: vectors that are null or hold null or non-finite components take no
 part, nor do rows with a null id; only vectors of the query's dimension are
 compared; a query leaves out its own row once, so other rows of its id count;
-ties go to the smaller id, equal rows stay apart; an empty table gives none;
+ties go to the smaller id, equal rows stay apart; an empty table gives none; finite
+components so large that a product would not fit in 64 bits are an error, never a
+wrong score;
 other columns are ignored.
 """
 
@@ -209,7 +213,10 @@ def quantise(batch: pa.RecordBatch, key: str, column: str, scale: int) -> Iterat
             held[0].append(own)
             held[1].append(flat[a:b])
     for own, rows in by_size.values():
-        yield np.array(own, np.int64), np.floor(scale * np.array(rows)).astype(np.int64)
+        whole = np.floor(scale * np.array(rows))
+        if whole.size and np.abs(whole).max() ** 2 * whole.shape[1] >= 2.0**60:
+            raise ValueError(f"vectors of {whole.shape[1]} components up to {np.abs(whole).max() / scale:.3g}: their products do not fit in a score of 64 bits")
+        yield np.array(own, np.int64), whole.astype(np.int64)
 
 
 def _packed(frame: DataFrame, key: str, column: str, scale: int, rows: int, make, schema: str) -> DataFrame:
@@ -244,6 +251,13 @@ def _tree_row(ids: np.ndarray, vectors: np.ndarray) -> dict:
     return {"pivot": pivot.tolist(), "radius": radius, "top": top, "body": pickle.dumps(tree)}
 
 
+def _block_row(ids: np.ndarray, vectors: np.ndarray) -> dict:
+    """A block of queries with the figures that prune trees for all of them: their centre (with the coordinate that queries have as 0) and how far from it they are."""
+    centre = vectors.mean(axis=0)
+    spread = float(np.sqrt(((vectors - centre) ** 2).sum(axis=1)).max())
+    return {"centre": [*centre.tolist(), 0.0], "spread": spread, "many": len(ids), "body": pickle.dumps((ids, vectors))}
+
+
 def _met(pairs: DataFrame, trees: DataFrame, blocks: DataFrame, k: int, partitions: int) -> DataFrame:
     """Per pair of a block and a tree and query n of the block: query_id, own (its product with itself), vec_id, score, and the products computed (once a block)."""
     index = trees.select("tree", F.lit(-1).cast("long").alias("block"), "body", F.lit(None).cast("binary").alias("beat"))
@@ -278,34 +292,49 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     trees = _packed(vectors, key, column, scale, TREE_ROWS, _tree_row, "pivot array<double>, radius double, top double, body binary")
     trees = scratch.keep(trees.withColumn("tree", F.monotonically_increasing_id()), "trees")
-    blocks = _packed(queries, key, column, scale, BLOCK_QUERIES, lambda ids, v: {"body": pickle.dumps((ids, v))}, "body binary")
+    blocks = _packed(queries, key, column, scale, BLOCK_QUERIES, _block_row, "centre array<double>, spread double, many long, body binary")
     blocks = scratch.keep(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
-    # trees are dealt into lists of at most LIST trees, so a block is joined with lists of trees by many keys
-    numbered = trees.select("size", "tree", "pivot", "radius", "top", F.pmod(F.xxhash64("tree"), F.lit(max(1, -(-trees.count() // TREE_LIST)))).alias("list"))
-    lists = numbered.groupBy("size", "list").agg(F.min("tree").alias("first"))
-    sent = blocks.select("size", "block", "body").join(lists, "size")
-    first = sent.groupBy("block").agg(F.min_by("first", F.xxhash64("first", "block")).alias("tree"))
+    # trees are dealt into lists of about LIST trees, so that blocks meet them by many keys
+    lists = max(1, -(-trees.count() // TREE_LIST))
+    roots = trees.select("size", "tree", "pivot", "radius", "top", F.pmod(F.xxhash64("tree"), F.lit(lists)).cast("int").alias("list"))
+    small = blocks.select("size", "block", "centre", "spread", "many")
+    # each block begins with a tree of its own, by hash, of a list of its own
+    own_list = small.select("size", "block", F.pmod(F.xxhash64("block", F.lit(1)), F.lit(lists)).cast("int").alias("list"))
+    first = own_list.join(roots.select("size", "list", "tree"), ["size", "list"]).groupBy("block").agg(F.min_by("tree", F.xxhash64("tree", "block")).alias("tree"))
+    first = scratch.keep(first, "first")
     seed = scratch.keep(_met(first.withColumn("beat", F.lit(None).cast("binary")), trees, blocks, k + 1, partitions), "seed")
     order = Window.partitionBy("block", "n").orderBy(F.desc("score"), "vec_id")
     ranked = seed.where("n >= 0").withColumn("at", F.row_number().over(order))
     # with the query's own row among k + 1, the last of them is one that the k-th of the others must reach
-    beat = ranked.where(F.col("at") == k + 1).groupBy("block").agg(F.collect_list(F.struct("n", "score")).alias("beat"))
-    reached = sent.join(first.withColumnRenamed("tree", "seeded"), "block").join(beat, "block", "left").join(numbered, ["size", "list"]).where("tree <> seeded")
-    reached = reached.select("block", "tree", "body", "beat", "pivot", "radius", "top")
+    beat = ranked.where(F.col("at") == k + 1).groupBy("block").agg(F.collect_list(F.struct("n", "score")).alias("beat"), F.max(F.col("own") - 2 * F.col("score")).alias("lean"), F.count(F.lit(1)).alias("told"))
+    beat = scratch.keep(beat, "beat")
+    # by small columns first: no query of a block is nearer to a pivot than the block's centre less its spread, none reaches farther than the one with most to gain
+    told = small.join(first.withColumnRenamed("tree", "seeded"), "block", "left").join(beat.drop("beat"), "block", "left")
+    met = told.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(lists - 1)))).join(roots, ["size", "list"]).where("seeded is null or tree <> seeded")
+    gap = F.sqrt(F.aggregate(F.zip_with("centre", "pivot", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v))
+    reach = F.when(F.col("told") == F.col("many"), F.sqrt(F.greatest(F.lit(0.0), F.col("lean") + F.col("top")))).otherwise(float("inf"))
+    met = met.where(gap - F.col("spread") - F.col("radius") <= reach + 1e-6 * (1.0 + gap + F.col("spread") + F.sqrt("top")))
+    met = met.groupBy("block", "list").agg(F.collect_list(F.struct("tree", "pivot", "radius", "top")).alias("roots"))
+    # then by each query: a block's body goes to a list of trees once
+    reached = met.join(blocks.select("block", "body"), "block").join(beat.select("block", "beat"), "block", "left").select("block", "body", "beat", "roots")
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, rows = pickle.loads(row["body"])
+            for i in range(batch.num_rows):
+                ids, rows = pickle.loads(batch.column("body")[i].as_py())
                 least = np.full(len(ids), -1, np.int64)
-                for x in row["beat"] or ():
+                for x in batch.column("beat")[i].as_py() or ():
                     least[x["n"]] = x["score"] - _LOWEST
                 own = (rows.astype(np.float64) ** 2).sum(axis=1)
-                pivot = np.array(row["pivot"])
-                gap = np.sqrt(((rows - pivot[:-1]) ** 2).sum(axis=1) + pivot[-1] ** 2)
-                reach = np.where(least < 0, np.inf, np.sqrt(np.maximum(0.0, own + row["top"] - 2.0 * (least + _LOWEST).astype(np.float64))))
-                if (gap - row["radius"] <= reach + 1e-7 * (1.0 + np.sqrt(own) + np.sqrt(row["top"]))).any():
-                    yield pa.RecordBatch.from_arrays([pa.array([row["block"]], pa.int64()), pa.array([row["tree"]], pa.int64()), pa.array([least.tobytes()], pa.binary())], ["block", "tree", "beat"])
+                block, kept = batch.column("block")[i].as_py(), []
+                for root in batch.column("roots")[i].as_py():
+                    pivot, top = np.array(root["pivot"]), root["top"]
+                    gap = np.sqrt(((rows - pivot[:-1]) ** 2).sum(axis=1) + pivot[-1] ** 2)
+                    reach = np.where(least < 0, np.inf, np.sqrt(np.maximum(0.0, own + top - 2.0 * (least + _LOWEST).astype(np.float64))))
+                    if (gap - root["radius"] <= reach + 1e-7 * (1.0 + np.sqrt(own) + np.sqrt(top))).any():
+                        kept.append(root["tree"])
+                if kept:
+                    yield pa.RecordBatch.from_arrays([pa.array([block] * len(kept), pa.int64()), pa.array(kept, pa.int64()), pa.array([least.tobytes()] * len(kept), pa.binary())], ["block", "tree", "beat"])
 
     pairs = reached.mapInArrow(prune, "block long, tree long, beat binary")
     found = scratch.keep(_met(pairs, trees, blocks, k + 1, partitions), "found").unionAll(seed)
