@@ -29,7 +29,7 @@ def plain(v):
     return repr(float(v)) if isinstance(v, float) else str(v)
 
 
-@pytest.mark.parametrize("name", ["presence_filter", "normalize_dims", "weekday_label", "monthly_value", "explode_windows", "fence_report_23", "fence_fallback", "elbow_k", "cluster_detail_43", "method_summary", "anti_join_bands", "stored_months", "sink_replaced_23", "sink_accumulated_38", "sink_layout"])
+@pytest.mark.parametrize("name", ["presence_filter", "normalize_dims", "weekday_label", "monthly_value", "explode_windows", "fence_report_23", "fence_fallback", "elbow_k", "cluster_detail_43", "method_summary", "anti_join_bands", "stored_months", "sink_replaced_23", "sink_accumulated_38", "sink_layout", "maintained_daily", "maintained_report_23", "grouped_detail_43", "bands_of_two_months", "migrated_history", "merged_series_counts", "quarantined_values", "daily_without_quarantined"])
 def test_query_equals_sql(spark, duck, name):
     df = catalog.queries()[name](spark, SF)
     found = duck.execute(catalog.oracle_sql()[name])
