@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import table
 
-from tidewatch.llm import mtree, packing, pages, quality, repeats, toxicity
+from tidewatch.llm import licenses, mtree, packing, pages, quality, repeats, toxicity
 
 
 def texts_of(page):
@@ -152,3 +152,10 @@ def test_blocks_and_trees_of_many_lists_are_exact(spark, monkeypatch):
         want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == want
     assert 0 < products[0] < 180 * 800
+
+
+def test_templates_fit_in_their_bits(spark, monkeypatch):
+    assert max(len(w.split()) for _, w in licenses.TEMPLATES) <= 64
+    monkeypatch.setattr(licenses, "TEMPLATES", (("long", " ".join(f"w{i}" for i in range(65))),))
+    with pytest.raises(ValueError):
+        licenses.template_bigrams(spark)

@@ -54,6 +54,8 @@ def template_bigrams(spark: SparkSession) -> DataFrame:
     rows = []
     for n, (words, label, base) in enumerate([(p, label, True) for p, label in BASE] + [(w, label, False) for label, w in TEMPLATES]):
         w = words.split(" ")
+        if len(w) > 64:
+            raise ValueError(f"a template of {len(w)} words: its positions do not fit in the bits of a long")
         rows += [(n, label, base, len(w), t, w[t], w[t + 1]) for t in range(len(w) - 1)]
     frame = spark.createDataFrame(rows, "template int, label string, base boolean, size int, t int, w1 string, w2 string")
     sentinel = spark.createDataFrame([(-1, "", False, 0, 0, "", "")], frame.schema)
