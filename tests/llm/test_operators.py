@@ -363,9 +363,10 @@ def near_rows(rng):
     return rows
 
 
-@pytest.mark.parametrize("block", [256, 8])
-def test_near_duplicates(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "strays"), [(256, 1024), (8, 1024), (8, 1)])
+def test_near_duplicates(spark, monkeypatch, block, strays):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "STRAYS", strays)
     rows = near_rows(random.Random(5)) + [(9001, ""), (9002, None), (9003, "one two"), (9004, "One  two"), (9005, "two one")]
     want = brute_groups(rows, 4, 80)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(table(spark, rows), shingle=4).collect()}
@@ -394,6 +395,40 @@ def test_strays_of_a_crowded_bucket_find_each_other(spark, monkeypatch):
     assert got == brute_groups(rows, 4, 80)
 
 
+def test_rare_shingles_bring_similar_sets_together(spark):
+    rng, sets = random.Random(4), []
+    template = list(range(400))
+    for i in range(120):
+        size = rng.randrange(1, 400)
+        own = [rng.randrange(10**9) for _ in range(rng.choice([0, size // 20, size // 8, size // 3]))]
+        sets.append(set(rng.sample(template, size) if i % 3 else template[:size]) | set(own))
+    for s in list(sets[:60]):
+        kept = rng.sample(sorted(s), max(1, len(s) * 9 // 10))
+        sets.append(set(kept) | {rng.randrange(10**9) for _ in range(rng.randrange(1 + len(s) // 12))})
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "doc_id long, shingles array<long>")
+    met = collections.defaultdict(set)
+    for r in neardup.rare_keys(frame, 80).collect():
+        met[r.doc_id].add(r.band)
+    links = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if sets[i] != sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert len(links) > 60 and all(met[i] & met[j] for i, j in links)
+
+
+def test_texts_of_a_template_meet_by_nothing(spark, monkeypatch):
+    """Texts that share two thirds of their shingles: rows of comparisons grow with the pairs that are similar, not with the square of the texts."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "STRAYS", 16)
+    rng, made = random.Random(8), []
+    common = words_of(rng, 80)
+    by_block = neardup._by_block
+    monkeypatch.setattr(neardup, "_by_block", lambda members, *rest: (made.append(members.count()), by_block(members, *rest))[1])
+    for n in (100, 200, 400):
+        rows = [(i, " ".join([f"own{i}x{k}" for k in range(40)] + common)) for i in range(n)]
+        rows += [(1000 + i, rows[i * 7][1] + f" tail{i}") for i in range(10)]
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(table(spark, rows), shingle=4).collect()}
+        assert got == brute_groups(rows, 4, 80)
+    assert max(made) <= 200
+
+
 def test_rows_of_an_id_join_their_groups(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
     rows = [(5, a), (7, a), (7, b), (9, b), (7, ""), (9, None), (11, c), (11, c + " d"), (12, c), (13, ""), (None, b)]

@@ -12,7 +12,11 @@
    blocks, each member to one of them, and the strays stream past every block.
    Bit counts pick the texts with a possible partner, exact intersection counts
    through the block's inverted index decide.  A task holds one block.
-5. Components over the confirmed links give the groups.
+5. In a bucket of more than ``STRAYS`` strays that would be strays times blocks.
+   Its members are dealt anew by their rarest shingles before step 4: a similar
+   pair must share one of those that :func:`rare_keys` takes, so no link is lost,
+   and texts that share a template alone have none in common.
+6. Components over the confirmed links give the groups.
 
 Band keys miss a pair of similarity 0.8 with probability (1 - 0.8^4)^32 < 1e-7.
 Pairs are never listed for a whole bucket, and no bucket is capped or dropped.
@@ -44,6 +48,10 @@ HASHES = BANDS * ROWS
 SLACK = 0.22
 #: Members of a block of a bucket, and shingles of all its members, on average.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 18
+#: Strays of a bucket that are compared with all its members; with more of them, members are first dealt by rare shingles.
+STRAYS = 4 * BLOCK
+#: Ratio of the set sizes that are one class when members are dealt by rare shingles.
+SIZE_RATIO = 1.05
 
 _RNG = np.random.default_rng(77)
 _XOR = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -166,6 +174,43 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str, key:
     return sets.join(wanted.select("doc_id", "c1", "c2"), ["doc_id", "c1", "c2"]).dropDuplicates(["doc_id", "c1", "c2"]).select("doc_id", "shingles")
 
 
+def rare_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """band and doc_id: keys by which sets (doc_id, shingles) of similarity ``percent`` or more must meet.
+
+    Shingles are put in one order, rare ones first.  Sets of m and n shingles that
+    are similar share at least (m + n) * percent / (100 + percent) of them, so the
+    first one that both hold is among the first m + 1 less that many.  A set is
+    dealt by these to every class of sizes a partner can have.  Shingles of one set
+    alone take places but give no key: a set with enough of them has none at all.
+    """
+    own = sets.select("doc_id", F.xxhash64("doc_id", "shingles").alias("set"), F.size("shingles").alias("m"), F.explode("shingles").alias("token"))
+    common = own.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = own.join(common, "token").groupBy("doc_id", "set", "m").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    size_class = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(SIZE_RATIO))).cast("int")
+    smallest, largest = F.greatest(F.floor(F.col("m") * percent / 100), F.lit(1)), F.ceil(F.col("m") * 100 / percent)
+    dealt = shared.withColumns({"own": size_class(F.col("m")), "other": F.explode(F.sequence(size_class(smallest), size_class(largest)))})
+    # a little under the least size of the class, whatever the logarithm was rounded to
+    least = F.floor(F.pow(F.lit(SIZE_RATIO), F.col("other")) * 0.999999)
+    need = F.ceil(((F.col("m") + least) * percent / (100 + percent)) - 1e-9)
+    dealt = dealt.withColumn("take", F.least(F.col("m") - need + 1 - (F.col("m") - F.size("shared")), F.size("shared")).cast("int")).where("take > 0")
+    keys = dealt.select("doc_id", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), F.explode(F.slice("shared", F.lit(1), F.col("take"))).alias("s"))
+    return keys.select(F.xxhash64("a", "b", "s.token").alias("band"), "doc_id").distinct()
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """``members`` (band, doc_id) without bands of one document and those that hold the same documents as another."""
+    content = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")).where("n > 1")
+    return members.join(content.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"), "band", "left_semi")
+
+
+def _apart(rooted: DataFrame) -> DataFrame:
+    """Bands of ``rooted`` (band, n_shingles, doc_id, root) with several components: blocks, top (the largest component) and strays (members outside it)."""
+    parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+    apart = parts.groupBy("band").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    blocks_of = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    return apart.select("band", blocks_of, F.col("top.root").alias("top"), (F.col("n") - F.col("top.n")).alias("strays"))
+
+
 def _similar(a: str, b: str, percent: int) -> F.Column:
     shared = F.size(F.array_intersect(a, b))
     return shared * 100 >= (F.size(a) + F.size(b) - shared) * percent
@@ -313,11 +358,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     links = scratch.keep(both.where(_similar("xa", "xb", percent)).select("a", "b"), "links")
     first = components(links, scratch)
     # what is still apart within a bucket: by signature, then on full sets
-    rooted = scratch.keep(members.join(first, members.rep == first.node, "left").select("band", "n_shingles", F.col("rep").alias("doc_id"), F.coalesce("root", "rep").alias("root")), "rooted")
-    parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
-    apart = parts.groupBy("band").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    blocks_of = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    apart = scratch.keep(apart.select("band", blocks_of, F.col("top.root").alias("top")), "apart")
+    nodes = classes.select(F.col("rep").alias("doc_id"), "n_shingles").join(first, F.col("doc_id") == F.col("node"), "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("root"))
+    nodes = scratch.keep(nodes.groupBy("doc_id", "root").agg(F.max("n_shingles").alias("n_shingles")), "nodes")
+    rooted = scratch.keep(members.select("band", F.col("rep").alias("doc_id")).distinct().join(nodes, "doc_id"), "rooted")
+    apart = scratch.keep(_apart(rooted), "apart")
+    crowded = rooted.join(apart.where(F.col("strays") > STRAYS).select("band"), "band", "left_semi").select("doc_id").distinct()
+    crowded = scratch.keep(sig.drop("sig").join(crowded, "doc_id"), "crowded")
+    if crowded.take(1):
+        keys = scratch.keep(rare_keys(scratch.keep(_full_sets(docs, crowded, shingle, text, key), "crowded-sets"), percent), "keys")
+        rare = scratch.keep(_once(keys).join(nodes, "doc_id"), "rare")
+        rooted = rooted.join(apart.where(F.col("strays") <= STRAYS).select("band"), "band", "left_semi").unionByName(rare)
+        apart = scratch.keep(apart.where(F.col("strays") <= STRAYS).unionByName(_apart(rare)), "apart")
     rest = rooted.join(apart, "band")
     placed = rest.select("band", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("j"), F.lit(0).alias("side"), "doc_id", "root")
     strays = rest.where("root <> top").select("band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(1).alias("side"), "doc_id", "root")
